@@ -46,13 +46,16 @@ def text_kmeans_pipeline(text_col: str, k: int = 3, seed: int = 1,
 
 
 def silhouette(predictions: DataFrame, features_col: str = "features",
-               prediction_col: str = "prediction") -> float:
-    """Mean silhouette with squared Euclidean distance.
+               prediction_col: str = "prediction") -> float | None:
+    """Mean silhouette with squared Euclidean distance; ``None`` when the
+    rows fall into fewer than two clusters (the score is undefined there).
 
     Spark's evaluator is linear in the rows: one pass builds per-cluster
     (count, feature sum, squared-norm sum), which is k vectors, and a second
     pass scores every point against them.
     """
+    if predictions.select(prediction_col).distinct().limit(2).count() < 2:
+        return None
     evaluator = ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction_col,
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
     return evaluator.evaluate(predictions)
@@ -84,7 +87,8 @@ def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features:
         for k in ks:
             model = kmeans(k, seed).fit(train_features)
             score = silhouette(model.transform(test_features))
-            rows.append((int(k), float(score), float(model.summary.trainingCost)))
+            rows.append((int(k), None if score is None else float(score),
+                         float(model.summary.trainingCost)))
     finally:
         train_features.unpersist()
         test_features.unpersist()

@@ -169,7 +169,7 @@ def ml_silhouette(spark, sf_dir):
     """Silhouette (squared Euclidean) of the embeddings under their labels."""
     emb = ml.array_features(table(spark, sf_dir, "embeddings"), "embedding", "features")
     score = ml.silhouette(emb.withColumn("prediction", F.col("label").cast("double")))
-    return spark.createDataFrame([(round(score, 6),)], "silhouette DOUBLE")
+    return spark.createDataFrame([(None if score is None else round(score, 6),)], "silhouette DOUBLE")
 
 
 @register("ml_k_sweep")

@@ -46,8 +46,7 @@ def read_text_lines(spark: SparkSession, *paths: str, line_sep: str | None = Non
 def read_whole_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """One row per file: ``(path, value)``. Files are never split, so each
     must fit in a task's memory; many small files are packed per task."""
-    df = _reader(spark, wholetext="true",
-                 recursiveFileLookup="true" if recursive else None).text(path)
+    df = _reader(spark, recursiveFileLookup="true" if recursive else None).text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
