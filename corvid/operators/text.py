@@ -28,7 +28,10 @@ def words(df: DataFrame, text_col: str, keep: Sequence[str] = (), sep: str = " "
         tokens = F.flatten(F.transform(split_lines(text), lambda line: split_keep_empty(line, sep)))
     else:
         tokens = split_keep_empty(text, sep)
-    out = df.select(*keep, F.explode(tokens).alias(alias))
+    # explode_outer + a null filter equals explode here, and keeps the
+    # optimizer from adding a size(tokens) > 0 filter that would evaluate
+    # the split a second time
+    out = df.select(*keep, F.explode_outer(tokens).alias(alias)).filter(F.col(alias).isNotNull())
     return out.filter(F.col(alias) != "") if drop_empty else out
 
 
@@ -83,7 +86,8 @@ def vector_sum(c: str):
 
 
 def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
-    """Exact-vocabulary TF-IDF per ``(document, term)``.
+    """Exact-vocabulary TF-IDF per ``(document, term)``, with the term's
+    document frequency ``df`` and total count ``cf``.
 
     ``idf = ln((N + 1) / (df + 1))`` as in Spark's ``IDF`` with
     ``minDocFreq`` 0; ``N`` counts every document row (a scalar subquery).
@@ -93,9 +97,12 @@ def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
     handling splits.
     """
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    terms = docs.select(doc_col, F.explode(tokens_col).alias("term"))
+    terms = (docs.select(doc_col, F.explode_outer(tokens_col).alias("term"))
+             .filter(F.col("term").isNotNull()))
     tf = terms.groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # reading tf's count keeps both branches on the same shuffle, which Spark
+    # then runs once and reuses; cf is the term's total count
+    doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return (tf.join(doc_freq, "term")
             .withColumn("idf", idf)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from corvid.functions.text import path_segment
 from corvid.operators.text import word_counts
 from corvid.plans.registry import SQL_LINES, register
-from corvid.session import scratch_path, table
+from corvid.session import scratch_path, spread, table
 from corvid.sinks import files as sinks
 from corvid.sources import files as src
 
@@ -49,8 +49,12 @@ def src_whole_files(spark, sf_dir):
     """One row per file; id and topic from the path ``…/source=<topic>/doc_id=<id>/file``."""
     path = scratch_path(spark, "whole-files")
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
-    sinks.write_text(docs, path, "errorifexists", partition_by=["source", "doc_id"])
-    files = src.read_whole_files(spark, path)
+    # one small file per document: spread the file creation over many tasks
+    # (hash of the unique doc_id, so no task gets a hot group)
+    writers = spark.sparkContext.defaultParallelism * 8
+    sinks.write_text(docs.repartition(writers, "doc_id"), path, "errorifexists",
+                     partition_by=["source", "doc_id"])
+    files = src.read_whole_files(spark, path, recursive=True)
     return files.select(
         F.substring_index(path_segment("path", -2), "=", -1).alias("id"),
         F.col("value").alias("text"),
@@ -223,7 +227,7 @@ GROUP BY word
 def snk_text_overwrite(spark, sf_dir):
     """Word counts as ``word<TAB>count`` text, written twice to the same
     folder; the second run replaces the first."""
-    counts = word_counts(table(spark, sf_dir, "documents").select("text"), "text")
+    counts = word_counts(spread(table(spark, sf_dir, "documents").select("text")), "text")
     lines = counts.select(F.concat_ws("\t", "word", F.col("count").cast("string")).alias("value"))
     path = scratch_path(spark, "text-overwrite")
     sinks.write_text(lines, path, mode="overwrite")

@@ -10,7 +10,7 @@ from corvid.functions.text import csv_field, like_label, path_segment
 from corvid.operators import relational as rel
 from corvid.operators.text import word_counts
 from corvid.plans.registry import SQL_LINES, register
-from corvid.session import table
+from corvid.session import spread, table
 from corvid.sources.files import parse_csv_column
 
 # Fixed parameters of the queries.
@@ -157,14 +157,14 @@ FROM (SELECT unnest({SQL_LINES}) AS line FROM documents)
 @register("wordcount", f"SELECT word, count(*) AS count FROM ({SQL_WORDS}) GROUP BY word")
 def wordcount(spark, sf_dir):
     """Word count over every line of every document; empty tokens kept."""
-    return word_counts(table(spark, sf_dir, "documents").select("text"), "text")
+    return word_counts(spread(table(spark, sf_dir, "documents").select("text")), "text")
 
 
 @register("agg_grand_total", f"""
 SELECT 'all_times:' AS label, CAST(count(*) AS BIGINT) AS total FROM ({SQL_WORDS})
 """)
 def agg_grand_total(spark, sf_dir):
-    counts = word_counts(table(spark, sf_dir, "documents").select("text"), "text")
+    counts = word_counts(spread(table(spark, sf_dir, "documents").select("text")), "text")
     return rel.grand_total(counts, "count", "all_times:", "total")
 
 

@@ -18,7 +18,7 @@ from corvid.operators.text import (
     vector_sum,
 )
 from corvid.plans.registry import SQL_TOKENS, register, sql_filtered_tokens
-from corvid.session import table
+from corvid.session import spread, table
 
 # Fixed parameters, as in the reference runs.
 NUM_FEATURES = 1000
@@ -33,7 +33,11 @@ CV_FOLDS = 2
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def _doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _split_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -42,14 +46,15 @@ def _split_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars").join(labels, "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
+    return docs.join(labels, "doc_id")
 
 
 @register("txt_tokens", f"""
 SELECT doc_id, CAST(len({SQL_TOKENS}) AS BIGINT) AS n_tokens FROM documents
 """)
 def txt_tokens(spark, sf_dir):
-    words = tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    words = tokens(_doc_text(spark, sf_dir), "text")
     return words.select("doc_id", F.size("words").cast("bigint").alias("n_tokens"))
 
 
@@ -59,7 +64,7 @@ def _sql_filtered_count(alias: str, cast: str) -> str:
 
 @register("txt_stopwords", _sql_filtered_count("n_filtered", "BIGINT"))
 def txt_stopwords(spark, sf_dir):
-    filtered = filtered_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    filtered = filtered_tokens(_doc_text(spark, sf_dir), "text")
     return filtered.select("doc_id", F.size("filtered").cast("bigint").alias("n_filtered"))
 
 
@@ -67,7 +72,7 @@ def txt_stopwords(spark, sf_dir):
 def txt_hashing_tf(spark, sf_dir):
     """Hashed term frequencies (1000 buckets); a document's vector sums to
     its number of kept tokens whatever the hash collisions."""
-    filtered = filtered_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    filtered = filtered_tokens(_doc_text(spark, sf_dir), "text")
     tf = hashed_tf(filtered, "filtered", NUM_FEATURES, "rawFeatures")
     return tf.select("doc_id", vector_sum("rawFeatures").alias("tf_sum"))
 
@@ -76,7 +81,7 @@ def txt_hashing_tf(spark, sf_dir):
 def txt_idf_vectors(spark, sf_dir):
     """TF-IDF vectors: IDF fitted over all documents (one distributed pass
     for document frequencies), then applied."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _doc_text(spark, sf_dir)
     model = Pipeline(stages=text_feature_stages("text", NUM_FEATURES, 0)).fit(docs)
     out = model.transform(docs)
     values = vector_to_array("features")
@@ -88,18 +93,18 @@ def txt_idf_vectors(spark, sf_dir):
 @register("txt_tfidf_terms", f"""
 WITH toks AS (SELECT doc_id, unnest({sql_filtered_tokens()}) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
-dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+dfq AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY term),
 n AS (SELECT count(*) AS n FROM documents)
-SELECT tf.doc_id, tf.term, tf.tf, dfq.df,
+SELECT tf.doc_id, tf.term, tf.tf, dfq.df, dfq.cf,
        round(ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS idf,
        round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf
 FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n
 """)
 def txt_tfidf_terms(spark, sf_dir):
     """TF-IDF per (document, term) over the exact vocabulary of kept tokens."""
-    docs = filtered_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    docs = filtered_tokens(_doc_text(spark, sf_dir), "text")
     terms = tfidf_terms(docs, "doc_id", "filtered")
-    return terms.select("doc_id", "term", "tf", "df", F.round("idf", 6).alias("idf"),
+    return terms.select("doc_id", "term", "tf", "df", "cf", F.round("idf", 6).alias("idf"),
                         F.round("tfidf", 6).alias("tfidf"))
 
 

@@ -71,6 +71,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/corvid/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row work (tokenizing, model fitting) at least one
+    partition per core.
+
+    A large input already scans as many splits and is returned unchanged (no
+    shuffle); only an input with fewer scan partitions than the cluster's
+    parallelism (one small file, one row group) is spread round-robin.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables, e.g. ``table(spark, dir, "lineitem")``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
