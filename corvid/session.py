@@ -61,6 +61,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="corvid-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
