@@ -46,7 +46,10 @@ def _split_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
+    # not spread: logistic regression's cost here is aggregating one
+    # numFeatures-long gradient per partition per iteration, which more
+    # partitions of a small labelled set only multiply
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return docs.join(labels, "doc_id")
 
 

@@ -182,3 +182,46 @@ def test_drop_table(spark, sf_dir):
     import __spark_entry__ as entry
 
     assert entry.queries()["cat_drop_table"](spark, sf_dir).count() == 0
+
+
+def test_processing_time_trigger_keeps_running(spark, workdir):
+    # STR-02 / STR-10: a 1 s trigger runs until stopped and picks up new files
+    src_dir = os.path.join(workdir, "in")
+    _write(os.path.join(src_dir, "period=a"), "f1.txt", "spark streaming\n")
+    sink, ck = scratch_path(spark, "pt-sink"), scratch_path(spark, "pt-ck")
+    query = fs.start_batch_word_counts(fs.text_stream(spark, src_dir), sink, ck, trigger_seconds=1)
+    try:
+        query.processAllAvailable()
+        _write(os.path.join(src_dir, "period=a"), "f2.txt", "spark\n")
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    counts = {r["word"]: r["count"] for r in fs.period_word_counts(spark, sink).collect()}
+    assert counts == {"spark": 2, "streaming": 1}
+
+
+def test_append_mode_emits_closed_windows(spark, workdir):
+    # watermark + append: a window is written once the watermark passes its end
+    from corvid.streaming import windows as win
+
+    schema = "ts TIMESTAMP_NTZ, kind STRING, value DOUBLE"
+    folder = os.path.join(workdir, "events")
+    first = spark.createDataFrame(
+        [("2024-01-01 00:05:00", "a", 1.0), ("2024-01-01 00:50:00", "a", 2.0),
+         ("2024-01-01 01:10:00", "b", 4.0)], "t STRING, kind STRING, value DOUBLE")
+    second = spark.createDataFrame([("2024-01-01 03:00:00", "a", 8.0)],
+                                   "t STRING, kind STRING, value DOUBLE")
+    for i, df in enumerate([first, second]):
+        df.select(F.to_timestamp_ntz("t").alias("ts"), "kind", "value").coalesce(1) \
+            .write.parquet(os.path.join(folder, f"part{i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(folder)
+    agg = win.windowed_aggregate(stream, "ts", "1 hour", keys=["kind"], value_col="value",
+                                 watermark="10 minutes")
+    sink, ck = scratch_path(spark, "ap-sink"), scratch_path(spark, "ap-ck")
+    fs.await_query(win.start_append(agg, sink, ck), 300)
+    rows = sorted((str(r["window_start"]), r["kind"], r["n"], r["total"])
+                  for r in spark.read.parquet(sink).collect())
+    # the 03:00 window is still open (watermark 02:50) and not written yet
+    assert rows == [("2024-01-01 00:00:00", "a", 2, 3.0), ("2024-01-01 01:00:00", "b", 1, 4.0)]
