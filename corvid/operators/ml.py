@@ -8,9 +8,10 @@ scalars; they come back as one-row DataFrames.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
@@ -73,22 +74,26 @@ def cluster_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:
 
 
 def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features: DataFrame,
-                 ks: Iterable[int], seed: int = 1) -> DataFrame:
+                 ks: Iterable[int], seed: int = 1, parallelism: int = 4) -> DataFrame:
     """``(k, silhouette, training_cost)`` for each k.
 
     The text features are computed once and persisted (memory, spilling to
     disk; a lost block is recomputed from lineage), and only k-means is
-    refitted per k.
+    refitted per k. Up to ``parallelism`` fits are submitted at once (as
+    ``CrossValidator`` does), so the scheduler overlaps their small
+    per-iteration jobs.
     """
     train_features = train_features.persist(StorageLevel.MEMORY_AND_DISK)
     test_features = test_features.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit_one(k: int) -> tuple[int, float | None, float]:
+        model = kmeans(k, seed).fit(train_features)
+        score = silhouette(model.transform(test_features))
+        return int(k), None if score is None else float(score), float(model.summary.trainingCost)
+
     try:
-        rows = []
-        for k in ks:
-            model = kmeans(k, seed).fit(train_features)
-            score = silhouette(model.transform(test_features))
-            rows.append((int(k), None if score is None else float(score),
-                         float(model.summary.trainingCost)))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(fit_one, list(ks)))
     finally:
         train_features.unpersist()
         test_features.unpersist()
@@ -137,6 +142,3 @@ def grid_results(spark: SparkSession, cv_model, hashing_tf, idf) -> DataFrame:
                      float(metric)))
     return spark.createDataFrame(rows, "num_features INT, min_doc_freq INT, avg_auc DOUBLE")
 
-
-def fit_pipeline(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    return pipeline.fit(train)
