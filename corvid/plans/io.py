@@ -54,7 +54,7 @@ def src_whole_files(spark, sf_dir):
     writers = spark.sparkContext.defaultParallelism * 8
     sinks.write_text(docs.repartition(writers, "doc_id"), path, "errorifexists",
                      partition_by=["source", "doc_id"])
-    files = src.read_whole_files(spark, path, recursive=True)
+    files = src.read_whole_files(spark, path, levels=2)
     return files.select(
         F.substring_index(path_segment("path", -2), "=", -1).alias("id"),
         F.col("value").alias("text"),

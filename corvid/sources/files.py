@@ -43,10 +43,21 @@ def read_text_lines(spark: SparkSession, *paths: str, line_sep: str | None = Non
                    recursiveFileLookup="true" if recursive else None).text(list(paths))
 
 
-def read_whole_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+def read_whole_files(spark: SparkSession, path: str, recursive: bool = False,
+                     levels: int = 0) -> DataFrame:
     """One row per file: ``(path, value)``. Files are never split, so each
-    must fit in a task's memory; many small files are packed per task."""
-    df = _reader(spark, recursiveFileLookup="true" if recursive else None).text(path, wholetext=True)
+    must fit in a task's memory; many small files are packed per task.
+
+    ``levels`` > 0 reads the files ``levels`` folders below ``path`` (a
+    ``<topic>/<id>/`` layout is ``levels=2``). The glob turns every leaf
+    folder into a root path, and Spark lists many roots as a distributed job
+    instead of walking the tree from the driver.
+    """
+    target = path.rstrip("/") + "/*" * levels if levels else path
+    listing = str(max(1, spark.sparkContext.defaultParallelism * 4))
+    with session_conf(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", listing):
+        df = _reader(spark, recursiveFileLookup="true" if recursive else None).text(
+            target, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
