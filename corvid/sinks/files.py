@@ -12,6 +12,7 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corvid.sources.files import TEXT_TS_OPTIONS
 
@@ -61,14 +62,27 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists",
 
 def save_bucketed_table(df: DataFrame, name: str, path: str, buckets: int, bucket_col: str,
                         sort_col: str | None = None, partition_by: Sequence[str] | None = None,
-                        fmt: str = "parquet", mode: str = "errorifexists") -> None:
+                        fmt: str = "parquet", mode: str = "errorifexists", spread: int = 1) -> None:
     """External catalog table, bucketed (and optionally sorted / partitioned).
 
     Joins and aggregations on ``bucket_col`` between tables bucketed the same
     way read without a shuffle. The data lives at ``path`` (a shared folder),
     not in a machine-local warehouse.
+
+    With ``spread`` 1 the rows are first shuffled into exactly ``buckets``
+    tasks, one file per bucket. A bucket holds every row of its keys, so a
+    key with a third of the rows makes one task write a third of the data;
+    ``spread`` > 1 splits each bucket over that many tasks (by row position,
+    so exact duplicate rows are split too), writing up to ``spread`` files
+    per bucket.
     """
-    writer = (df.repartition(buckets, bucket_col).write.mode(mode).format(fmt)
+    if spread > 1:
+        bucket_id = F.pmod(F.hash(F.col(bucket_col)), F.lit(buckets))
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(spread))
+        shuffled = df.repartition(buckets * spread, bucket_id, salt)
+    else:
+        shuffled = df.repartition(buckets, bucket_col)
+    writer = (shuffled.write.mode(mode).format(fmt)
               .option("path", path).bucketBy(buckets, bucket_col))
     if sort_col:
         writer = writer.sortBy(sort_col)

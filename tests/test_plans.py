@@ -61,3 +61,21 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
             .select("o_orderkey").distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_bucketed_write_spreads_a_hot_key(spark, sf_dir):
+    # a key holding most rows is written by several tasks when spread > 1,
+    # and the table still joins without a shuffle and keeps every row
+    lineitem = table(spark, sf_dir, "lineitem")
+    hot = lineitem.withColumn("k", F.when(F.col("l_linenumber") <= 4, F.lit(0))
+                              .otherwise(F.col("l_orderkey")))
+    name = "corvid_t_hot_b"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    save_bucketed_table(hot, name, scratch_path(spark, name), 8, "k", spread=4)
+    back = spark.table(name)
+    assert back.count() == lineitem.count()
+    assert back.filter(F.col("k") == 0).count() == hot.filter(F.col("k") == 0).count()
+    files = back.select(F.input_file_name().alias("f")).filter(F.col("k") == 0).distinct().count()
+    assert files > 1
+    plan = back.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
