@@ -25,8 +25,10 @@ SQL_TEXT_LINES = f"SELECT unnest({SQL_LINES}) AS value FROM documents"
 
 def _stage_text(spark: SparkSession, sf_dir: str, label: str, compression: str | None = None) -> str:
     path = scratch_path(spark, label)
-    sinks.write_text(table(spark, sf_dir, "documents").select("text"), path, "errorifexists",
-                     compression)
+    # at least one file per core, so the read-back (gzip is not splittable)
+    # runs in parallel
+    sinks.write_text(spread(table(spark, sf_dir, "documents").select("text")), path,
+                     "errorifexists", compression)
     return path
 
 
