@@ -152,3 +152,24 @@ FROM w GROUP BY 1, 2, 3
 def str_window_key_count_sliding(spark, sf_dir):
     """Events per type over 1-hour windows sliding every 30 minutes."""
     return _events_window(spark, sf_dir, keys=["event_type"], slide=SLIDE)
+
+
+WATERMARK = "10 minutes"
+
+
+@register("str_window_count_watermark", f"""
+SELECT {SQL_BUCKET} AS window_start, {SQL_BUCKET} + INTERVAL '1 hour' AS window_end, count(*) AS n
+FROM events GROUP BY 1, 2
+HAVING {SQL_BUCKET} + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '{WATERMARK}'
+""")
+def str_window_count_watermark(spark, sf_dir):
+    """Events per 1-hour window in append mode with a 10-minute watermark:
+    each window is written once, when the watermark passes its end, and its
+    state is dropped (bounded state for a stream that never ends). Windows
+    still open at the end of the input are not written."""
+    events = table(spark, sf_dir, "events")
+    stream = win.table_stream(spark, sf_dir, "events", events.schema)
+    agg = win.windowed_aggregate(stream, "ts", WINDOW, watermark=WATERMARK)
+    sink, checkpoint = scratch_path(spark, "wm-out"), scratch_path(spark, "wm-ck")
+    ts.await_query(win.start_append(agg, sink, checkpoint), TIMEOUT_S)
+    return read_parquet(spark, sink)
