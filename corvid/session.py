@@ -41,6 +41,7 @@ def build_session(
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if checkpoint_dir:
         conf["spark.checkpoint.dir"] = checkpoint_dir
+        conf["spark.sql.warehouse.dir"] = f"{checkpoint_dir.rstrip('/')}/warehouse"
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
