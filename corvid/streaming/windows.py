@@ -25,7 +25,8 @@ from pyspark.sql.types import StructType
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema: StructType,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the parquet files named ``<name>.parquet`` (or ``<name>*``) in ``folder``."""
+    """Stream the parquet files named ``<name>.parquet`` in ``folder`` (a table
+    folder may hold other tables too)."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
