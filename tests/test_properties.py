@@ -111,3 +111,27 @@ def test_linesep_records_cover_the_text(spark, sf_dir):
                              - (F.length("text") - F.length(F.regexp_replace("text", ",", ""))))
                        .alias("n")).first()["n"]
     assert got == want
+
+
+def _same_rows(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stream_word_counts_equal_batch(spark, sf_dir):
+    # the streamed per-period counts equal the batch word count per source
+    from corvid.operators.text import word_counts
+
+    streamed = Q["str_batch_wordcount"](spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("period"), "text")
+    assert _same_rows(streamed.select("period", "word", "count"),
+                      word_counts(docs, "text", ["period"]).select("period", "word", "count"))
+
+
+def test_stream_windows_equal_batch(spark, sf_dir):
+    from corvid.streaming.windows import flatten_window, windowed_aggregate
+
+    events = table(spark, sf_dir, "events")
+    streamed = Q["str_window_key_count_sliding"](spark, sf_dir)
+    batch = flatten_window(windowed_aggregate(events, "ts", "1 hour", "30 minutes", ["event_type"]))
+    cols = ["window_start", "window_end", "event_type", "n"]
+    assert _same_rows(streamed.select(*cols), batch.select(*cols))
