@@ -11,7 +11,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
@@ -25,6 +25,36 @@ from pyspark import StorageLevel
 from corvid.operators.text import text_feature_stages
 
 
+def fit_staged(stages: Sequence, df: DataFrame,
+               storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> PipelineModel:
+    """Fit a chain of stages like ``Pipeline.fit``, with the input persisted
+    once, right before the first estimator.
+
+    ``Pipeline.fit`` runs the transformers ahead of an estimator (tokenize,
+    stop words, hash) once for that estimator's pass and again to feed the
+    next one. Here they run once: the hashed term frequencies are much
+    smaller than the raw text and are kept (memory, spilling to disk; a lost
+    block is recomputed from lineage) while the estimators are fitted.
+    """
+    stages = list(stages)
+    first = next((i for i, st in enumerate(stages) if isinstance(st, Estimator)), len(stages))
+    data = df
+    for stage in stages[:first]:
+        data = stage.transform(data)
+    cached = data.persist(storage)
+    data = cached
+    fitted = list(stages[:first])
+    try:
+        for i, stage in enumerate(stages[first:], start=first):
+            model = stage.fit(data) if isinstance(stage, Estimator) else stage
+            fitted.append(model)
+            if i < len(stages) - 1:
+                data = model.transform(data)
+    finally:
+        cached.unpersist()
+    return PipelineModel(fitted)
+
+
 def string_index(df: DataFrame, input_col: str, output_col: str = "label") -> DataFrame:
     """Index labels by descending frequency, ties alphabetical (0.0 = most
     frequent). Fitting collects one count per distinct label."""

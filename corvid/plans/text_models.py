@@ -124,8 +124,8 @@ def ml_string_index(spark, sf_dir):
 
 def _fit_text_kmeans(spark, sf_dir):
     train, test = _split_documents(spark, sf_dir)
-    model = ml.text_kmeans_pipeline("text", KMEANS_K, KMEANS_SEED, NUM_FEATURES).fit(train)
-    return model, test
+    pipeline = ml.text_kmeans_pipeline("text", KMEANS_K, KMEANS_SEED, NUM_FEATURES)
+    return ml.fit_staged(pipeline.getStages(), train), test
 
 
 @register("ml_text_kmeans")
@@ -184,7 +184,7 @@ def ml_silhouette(spark, sf_dir):
 def ml_k_sweep(spark, sf_dir):
     """(k, silhouette, training cost) for k = 2..9, features computed once."""
     train, test = _split_documents(spark, sf_dir)
-    features = Pipeline(stages=text_feature_stages("text", NUM_FEATURES, 0)).fit(train)
+    features = ml.fit_staged(text_feature_stages("text", NUM_FEATURES, 0), train)
     return ml.kmeans_sweep(spark, features.transform(train).select("doc_id", "features"),
                            features.transform(test).select("doc_id", "features"),
                            SWEEP_KS, KMEANS_SEED)
@@ -200,7 +200,7 @@ def ml_logistic(spark, sf_dir):
     document text, label = quality."""
     train, test = _split_labelled(spark, sf_dir)
     pipeline, _ = ml.logistic_pipeline("text", NUM_FEATURES, 0)
-    predictions = pipeline.fit(train).transform(test)
+    predictions = ml.fit_staged(pipeline.getStages(), train).transform(test)
     return predictions.select("doc_id", "label", "prediction",
                               vector_to_array("probability")[1].alias("p_positive"))
 
@@ -240,7 +240,8 @@ def ml_tuning_gain(spark, sf_dir):
     the gain in percent."""
     train, test = _split_labelled(spark, sf_dir)
     pipeline, _ = ml.logistic_pipeline("text", NUM_FEATURES, 0)
-    untuned = ml.area_under_roc(pipeline.fit(train).transform(test), "rawPrediction")
+    untuned = ml.area_under_roc(ml.fit_staged(pipeline.getStages(), train).transform(test),
+                                "rawPrediction")
     cv_model, _, _ = ml.grid_cross_validate(train, "text", GRID_NUM_FEATURES,
                                             GRID_MIN_DOC_FREQ, CV_FOLDS)
     tuned = ml.area_under_roc(cv_model.transform(test), "rawPrediction")
