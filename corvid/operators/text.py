@@ -85,18 +85,20 @@ def vector_sum(c: str):
     return F.aggregate(vector_to_array(F.col(c)), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
+def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str, n_docs=None) -> DataFrame:
     """Exact-vocabulary TF-IDF per ``(document, term)``, with the term's
     document frequency ``df`` and total count ``cf``.
 
     ``idf = ln((N + 1) / (df + 1))`` as in Spark's ``IDF`` with
-    ``minDocFreq`` 0; ``N`` counts every document row (a scalar subquery).
+    ``minDocFreq`` 0; ``N`` counts every document row (a scalar subquery over
+    ``docs`` unless the caller passes a cheaper ``n_docs`` column).
     Document frequencies come from a partial + final aggregate over distinct
     ``(doc, term)`` pairs and are joined back on ``term``; a term present in
     nearly every document makes that join skewed, which AQE's skew-join
     handling splits.
     """
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    if n_docs is None:
+        n_docs = docs.select(F.count(F.lit(1))).scalar()
     terms = (docs.select(doc_col, F.explode_outer(tokens_col).alias("term"))
              .filter(F.col("term").isNotNull()))
     tf = terms.groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -106,7 +106,9 @@ FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n
 def txt_tfidf_terms(spark, sf_dir):
     """TF-IDF per (document, term) over the exact vocabulary of kept tokens."""
     docs = filtered_tokens(_doc_text(spark, sf_dir), "text")
-    terms = tfidf_terms(docs, "doc_id", "filtered")
+    # N straight from the table scan (a row count reads no columns)
+    n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+    terms = tfidf_terms(docs, "doc_id", "filtered", n_docs)
     return terms.select("doc_id", "term", "tf", "df", "cf", F.round("idf", 6).alias("idf"),
                         F.round("tfidf", 6).alias("tfidf"))
 
