@@ -1,7 +1,7 @@
 """Named queries over the given tables and their oracle SQL."""
 
 from corvid.plans import io, relational, streams, text_models  # noqa: F401  (registers)
-from corvid.plans.registry import ORACLES, QUERIES
+from corvid.plans.registry import ORACLES, QUERIES, oracle_text
 
 
 def queries():
@@ -9,7 +9,7 @@ def queries():
 
 
 def oracle_sql():
-    return dict(ORACLES)
+    return {name: oracle_text(sql) for name, sql in ORACLES.items()}
 
 
 __all__ = ["oracle_sql", "queries"]

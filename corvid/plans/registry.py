@@ -8,52 +8,44 @@ none and are checked by properties in the tests instead.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corvid.functions.stopwords import ENGLISH
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str | Callable[[], str]] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | Callable[[], str] | None = None):
+    """Register a query. ``sql`` may be a callable; it is resolved only when
+    the oracles are asked for, so queries never depend on an oracle."""
     def wrap(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query key {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = sql.strip()
+            ORACLES[name] = sql
         return fn
     return wrap
 
 
-@lru_cache(maxsize=None)
-def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's default stop-word list, read from the Spark ML jar that
-    ships with PySpark (the same resource ``StopWordsRemover`` loads)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as jar:
-        text = jar.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in text.splitlines() if w)
-
-
 def sql_string_list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
+def oracle_text(sql: str | Callable[[], str]) -> str:
+    return (sql() if callable(sql) else sql).strip()
+
+
 # SQL fragments shared by the oracles (DuckDB dialect).
 SQL_LINES = r"regexp_split_to_array(text, '\r\n|\r|\n')"
 SQL_TOKENS = r"regexp_split_to_array(regexp_replace(lower(text), '\s+$', ''), '\s')"
 
 
 def sql_filtered_tokens() -> str:
-    stop = sql_string_list(spark_stop_words())
+    stop = sql_string_list(ENGLISH)
     return f"list_filter({SQL_TOKENS}, lambda x: NOT list_contains({stop}, x))"
