@@ -3,6 +3,7 @@ handling and Arrow text access."""
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterator
 
 import numpy as np
@@ -106,3 +107,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def block_table(docs: DataFrame, by: Column, columns: list[str], size_of: str, label: str,
+                block_bytes: int = 8 << 20) -> tuple[DataFrame, int]:
+    """``docs`` dealt into blocks of about ``block_bytes`` of the text column
+    ``size_of`` by a hash of ``by``, as a table bucketed on ``block`` in the
+    shared folder.
+
+    Passes that work on a block together read the table again and again
+    without a further shuffle of the texts. Returns it and the number of
+    blocks, which follows the table's bytes."""
+    spark = docs.sparkSession
+    blocks = max(1, -(-total_bytes(docs, size_of) // block_bytes))
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    dealt = docs.select(F.pmod(F.xxhash64(by), F.lit(blocks)).cast("int").alias("block"), *columns)
+    (dealt.repartition(blocks, "block").write.bucketBy(blocks, "block").option("compression", "zstd")
+     .option("path", scratch_path(spark, label)).format("parquet").saveAsTable(name))
+    return spark.table(name), blocks

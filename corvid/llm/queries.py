@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import packing, simhash
+from corvid.llm import packing, ppm, simhash, substring
 from corvid.session import table
 
 
@@ -13,6 +13,11 @@ def _tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_ppm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ppm.score_documents(docs, ppm.held_out_fold())
+
+
 def op3_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     packed = packing.pack_documents(docs, _tokenizer_path())
@@ -24,9 +29,16 @@ def op6_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicate_groups(docs)
 
 
+def op7_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.kept_digest(substring.remove_repeats(docs))
+
+
 QUERIES = {
+    "op1_ppm_scoring": op1_ppm_scoring,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}
