@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_right
 from dataclasses import dataclass, field
 
@@ -35,7 +36,7 @@ CAPACITY = 2048
 END_ID = 0
 # Ids of words already tokenized, kept per Python worker; a full cache is
 # emptied, so its memory is bounded and results don't depend on it.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 # Texts outside Latin-1 go through the tokenizer as a whole.
 _BYTE_RANGE = 256
 
@@ -52,40 +53,41 @@ def _latin_word_pattern() -> re.Pattern:
     return re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{letters}]+|[{digits}]|[^{spaces}{letters}{digits}]+")
 
 
-class WordTokenizer:
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    visible Latin-1 characters for themselves, the others in order from 256."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class WordTokenizer(dict):
     """Token ids as little-endian 32-bit bytes, by a vocabulary whose pieces
-    never reach across words: each distinct word is tokenized once."""
+    never reach across words: each distinct word is tokenized once and kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.words = _latin_word_pattern()
-        self.cache: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.find_words = _latin_word_pattern().findall
+        self.byte_characters = _byte_characters()
 
-    def _whole(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+    def __missing__(self, word: str) -> bytes:
+        symbols = word.encode().decode("latin-1").translate(self.byte_characters)
+        ids = self[word] = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+        return ids
 
     def encode(self, text: str) -> bytes:
         lowered = text.lower()
         try:
             lowered.encode("latin-1")
         except UnicodeEncodeError:
-            return self._whole(text)
-        words = self.words.findall(lowered)
-        cache = self.cache
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            pass
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        new = list(set(words) - cache.keys())
-        for word, code in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-            cache[word] = np.asarray(code.ids, dtype="<u4").tobytes()
-        return b"".join(map(cache.__getitem__, words))
+            return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.find_words(lowered)))
 
 
 _LOADED: dict[str, WordTokenizer] = {}
