@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import packing, ppm, simhash, substring
+from corvid.llm import packing, ppm, simhash, substring, winnowing
 from corvid.session import table
 
 
@@ -34,11 +34,17 @@ def op7_substring_dedup(spark, sf_dir):
     return substring.kept_digest(substring.remove_repeats(docs))
 
 
+def op10_winnowing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return winnowing.edited_pairs(docs)
+
+
 QUERIES = {
     "op1_ppm_scoring": op1_ppm_scoring,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op10_winnowing": op10_winnowing,
 }
 
 ORACLES: dict[str, str] = {}
