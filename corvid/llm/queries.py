@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import packing, ppm, simhash, substring, winnowing
+from corvid.llm import packing, ppm, simhash, substring, warc, winnowing
 from corvid.session import table
 
 
@@ -34,6 +34,12 @@ def op7_substring_dedup(spark, sf_dir):
     return substring.kept_digest(substring.remove_repeats(docs))
 
 
+def op8_warc(spark, sf_dir):
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    records = warc.read_archives(manifest, keep_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_winnowing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return winnowing.edited_pairs(docs)
@@ -44,6 +50,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_warc": op8_warc,
     "op10_winnowing": op10_winnowing,
 }
 
