@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import packing, ppm, simhash, substring, warc, winnowing
+from corvid.llm import langid, packing, ppm, simhash, substring, warc, winnowing
 from corvid.session import table
 
 
@@ -18,6 +18,10 @@ def op1_ppm_scoring(spark, sf_dir):
     return ppm.score_documents(docs, ppm.held_out_fold())
 
 
+def op2_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     packed = packing.pack_documents(docs, _tokenizer_path())
@@ -47,6 +51,7 @@ def op10_winnowing(spark, sf_dir):
 
 QUERIES = {
     "op1_ppm_scoring": op1_ppm_scoring,
+    "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
