@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import langid, packing, ppm, simhash, substring, warc, winnowing
+from corvid.llm import langid, packing, pagediff, ppm, simhash, substring, warc, winnowing
 from corvid.session import table
 
 
@@ -44,6 +44,10 @@ def op8_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_page_differencing(spark, sf_dir):
+    return pagediff.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_winnowing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return winnowing.edited_pairs(docs)
@@ -56,6 +60,7 @@ QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_warc": op8_warc,
+    "op9_page_differencing": op9_page_differencing,
     "op10_winnowing": op10_winnowing,
 }
 
