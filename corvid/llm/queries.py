@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import langid, packing, pagediff, ppm, simhash, substring, warc, winnowing
+from corvid.llm import decontaminate, langid, packing, pagediff, ppm, simhash, substring, warc, winnowing
 from corvid.session import table
 
 
@@ -28,6 +28,11 @@ def op3_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                    table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicate_groups(docs)
@@ -57,6 +62,7 @@ QUERIES = {
     "op1_ppm_scoring": op1_ppm_scoring,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_warc": op8_warc,
