@@ -8,22 +8,50 @@ the next one's ``docs``. All but the last return the columns of
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import simhash
+from corvid.llm import decontaminate, langid, packing, simhash, substring
 from corvid.llm.common import written
 from corvid.session import table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go (null texts and texts without a letter)."""
+    model = langid.train(docs.where(langid.learned_from()))
+    return langid.keep_identified(docs, model)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one of the smallest id."""
     return simhash.drop_near_duplicates(docs)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Windows of words that start earlier in the corpus are cut out."""
+    return substring.cut_documents(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold question and answer of a test item go."""
+    return decontaminate.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its place in a sequence."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("language id", language_id),
     ("simhash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", best_fit_packing),
 ]
 
+# Tokenizing, fingerprints and alignment have no SQL form; the stages are
+# tested against brute-force versions.
 ORACLE_SQL = None
 
 

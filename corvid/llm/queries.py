@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import decontaminate, langid, packing, pagediff, ppm, simhash, substring, warc, winnowing
+from corvid.llm import decontaminate, langid, licences, packing, pagediff, ppm, simhash, substring, warc, winnowing
 from corvid.session import table
 
 
@@ -33,6 +33,10 @@ def op4_benchmark_decontamination(spark, sf_dir):
                                     table(spark, sf_dir, "benchmark"))
 
 
+def op5_licence_scan(spark, sf_dir):
+    return licences.find_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicate_groups(docs)
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_licence_scan": op5_licence_scan,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_warc": op8_warc,

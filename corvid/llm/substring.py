@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvid.llm.common import block_table, chunks, mix64, text_bytes, word_spans, written
 from corvid.llm.hashing import prefix_sums, slice_hashes, word_hashes
@@ -249,11 +250,14 @@ def _kept_words(text: str | None, starts: np.ndarray, ends: np.ndarray) -> tuple
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept`` for every row of ``docs``: the
-    words that no repeated window covers, joined by single spaces."""
-    blocks, _ = block_table(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-                            F.col("doc_id"), ["doc_id", "text"], "text", "substring")
-    spans = repeated_spans(blocks, window, gram)
+    """The rows of ``docs`` with ``n_words``, ``n_removed`` and ``kept``: the
+    words that no repeated window covers, joined by single spaces. Columns
+    besides ``doc_id`` and ``text`` come back as the struct ``rest``."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")] if rest else []))
+    blocks, _ = block_table(rows, F.col("doc_id"), rows.columns, "text", "substring")
+    spans = repeated_spans(blocks.select("block", "doc_id", "text"), window, gram)
 
     def cut(key, table, spans):
         table = _ordered(table)
@@ -266,16 +270,37 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         for i, text in enumerate(table["text"]):
             # rows that repeat an id count on
             shift = before.get(ids[i], 0)
-            n, rest = _kept_words(text.as_py(), start[low[i]:high[i]] - shift, end[low[i]:high[i]] - shift)
+            n, words = _kept_words(text.as_py(), start[low[i]:high[i]] - shift, end[low[i]:high[i]] - shift)
             before[ids[i]] = shift + n
             total.append(n)
-            removed.append(n - len(rest))
-            kept.append(b" ".join(rest).decode())
-        return pa.table({"doc_id": table["doc_id"], "n_words": pa.array(total, pa.int64()),
-                         "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())})
-
-    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
-        cut, "doc_id long, n_words long, n_removed long, kept string")
+            removed.append(n - len(words))
+            kept.append(b" ".join(words).decode())
+        return (table.drop_columns("block").append_column("n_words", pa.array(total, pa.int64()))
+                .append_column("n_removed", pa.array(removed, pa.int64())).append_column("kept", pa.array(kept, pa.string())))
+
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in blocks.drop("block").schema.fields])
+    schema = schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
+    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
+
+
+def cut_documents(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` with repeated windows cut out of ``text`` (and ``n_chars``, if
+    there, counted anew). Texts without repeats stay as they are; documents
+    of which nothing is left go."""
+    found = remove_repeats(docs, window, gram).where("n_removed = 0 or kept != ''")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+
+    def column(c: str):
+        if c == "doc_id":
+            return F.col("doc_id").cast(docs.schema[c].dataType).alias(c)
+        if c == "text":
+            return text.alias(c)
+        old = F.col("rest").getField(c)
+        if c == "n_chars":
+            old = F.when(F.col("n_removed") > 0, F.char_length("kept").cast(docs.schema[c].dataType)).otherwise(old)
+        return old.alias(c)
+
+    return found.select(*[column(c) for c in docs.columns])
 
 
 def kept_digest(kept: DataFrame) -> DataFrame:

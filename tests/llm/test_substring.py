@@ -66,3 +66,20 @@ def test_small_window_and_periodic_texts(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert substring.remove_repeats(frame(spark, [])).count() == 0
+
+
+def test_cut_documents_keeps_columns_and_untouched_texts(spark):
+    rows = corpus(5)
+    docs = frame(spark, rows).withColumn("n_chars", substring.F.char_length("text").cast("long"))
+    got = substring.cut_documents(docs)
+    assert got.columns == docs.columns
+    cut = {(d, n, removed) for d, n, removed, _ in brute(rows, 20)}
+    texts = {}
+    for d, t in rows:
+        texts.setdefault(d, []).append(t)
+    seen = got.collect()
+    for r in seen:
+        assert r.source == "src" and r.value == "x" and r.n_chars == (None if r.text is None else len(r.text))
+        assert r.text in texts[r.doc_id] or any(d == r.doc_id and k for d, _, k in cut)
+    emptied = sum(n == removed > 0 for _, n, removed, _ in brute(rows, 20))
+    assert len(seen) == len(rows) - emptied
