@@ -29,6 +29,12 @@ def split_lines(c: Column | str) -> Column:
     return F.split(_col(c), LINE_BREAK, -1)
 
 
+def split_tokens_of_lines(c: Column | str, sep: str = " ") -> Column:
+    """The tokens of all lines at once: cut at line ends and at a literal
+    separator, every token kept, empty ones included."""
+    return F.split(_col(c), f"{LINE_BREAK}|{re.escape(sep)}", -1)
+
+
 def split_multivalue(c: Column | str, sep: str = "|") -> Column:
     """Split a delimited multi-value field (``"Action|Drama"``) into an array."""
     return F.split(_col(c), re.escape(sep), -1)

@@ -11,31 +11,36 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import IDF, HashingTF, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark import StorageLevel
 
-from corvid.operators.text import text_feature_stages
+
+# Partitions of a fit's input: k-means seeding follows partitions and row
+# order, so both are fixed here instead of following the cluster.
+FIT_PARTITIONS = 32
+
+
+def in_fit_order(features: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The (small) feature rows by hash of ``key`` and sorted in each
+    partition, so that a fit sees the same rows in the same places whatever
+    the number of cores or the file splits."""
+    return features.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def fit_staged(stages: Sequence, df: DataFrame,
                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> PipelineModel:
-    """Fit a chain of stages like ``Pipeline.fit``, with the input persisted
-    once, right before the first estimator.
-
-    ``Pipeline.fit`` runs the transformers ahead of an estimator (tokenize,
-    stop words, hash) once for that estimator's pass and again to feed the
-    next one. Here they run once: the hashed term frequencies are much
-    smaller than the raw text and are kept (memory, spilling to disk; a lost
-    block is recomputed from lineage) while the estimators are fitted.
-    """
+    """Fit a chain of stages like ``Pipeline.fit``, with the input of the
+    first estimator persisted (memory, spilling to disk; a lost block is
+    recomputed from lineage), so the transformers before it run once."""
     stages = list(stages)
     first = next((i for i, st in enumerate(stages) if isinstance(st, Estimator)), len(stages))
     data = df
@@ -57,9 +62,11 @@ def fit_staged(stages: Sequence, df: DataFrame,
 
 def string_index(df: DataFrame, input_col: str, output_col: str = "label") -> DataFrame:
     """Index labels by descending frequency, ties alphabetical (0.0 = most
-    frequent). Fitting collects one count per distinct label."""
+    frequent). The fitted model holds one entry per distinct label on the
+    driver and in every task: for columns of categories, not of free values.
+    A label that fitting has not seen raises."""
     indexer = StringIndexer(inputCol=input_col, outputCol=output_col,
-                            stringOrderType="frequencyDesc", handleInvalid="keep")
+                            stringOrderType="frequencyDesc", handleInvalid="error")
     return indexer.fit(df).transform(df)
 
 
@@ -69,13 +76,6 @@ def kmeans(k: int, seed: int = 1, features_col: str = "features",
                   maxIter=max_iter)
 
 
-def text_kmeans_pipeline(text_col: str, k: int = 3, seed: int = 1,
-                         num_features: int = 1000, min_doc_freq: int = 0) -> Pipeline:
-    """Tokenizer → stop words → HashingTF → IDF → KMeans, fitted as one."""
-    return Pipeline(stages=text_feature_stages(text_col, num_features, min_doc_freq)
-                    + [kmeans(k, seed)])
-
-
 def silhouette(predictions: DataFrame, features_col: str = "features",
                prediction_col: str = "prediction") -> float | None:
     """Mean silhouette with squared Euclidean distance; ``None`` when the
@@ -83,13 +83,17 @@ def silhouette(predictions: DataFrame, features_col: str = "features",
 
     Spark's evaluator is linear in the rows: one pass builds per-cluster
     (count, feature sum, squared-norm sum), which is k vectors, and a second
-    pass scores every point against them.
+    pass scores every point against them. It finds out itself if there is one
+    cluster only.
     """
-    if predictions.select(prediction_col).distinct().limit(2).count() < 2:
-        return None
     evaluator = ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction_col,
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
-    return evaluator.evaluate(predictions)
+    try:
+        return evaluator.evaluate(predictions)
+    except Py4JJavaError as e:
+        if "Number of clusters must be greater than one" in str(e.java_exception):
+            return None
+        raise
 
 
 def array_features(df: DataFrame, array_col: str, output_col: str = "features") -> DataFrame:
@@ -130,12 +134,8 @@ def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features:
     return spark.createDataFrame(rows, "k INT, silhouette DOUBLE, training_cost DOUBLE")
 
 
-def logistic_pipeline(text_col: str, num_features: int = 1000, min_doc_freq: int = 0,
-                      reg_param: float = 0.01, threshold: float = 0.5) -> tuple[Pipeline, list]:
-    stages = text_feature_stages(text_col, num_features, min_doc_freq)
-    lr = LogisticRegression(regParam=reg_param, threshold=threshold, labelCol="label",
-                            featuresCol="features")
-    return Pipeline(stages=stages + [lr]), stages
+def logistic(reg_param: float = 0.01, threshold: float = 0.5) -> LogisticRegression:
+    return LogisticRegression(regParam=reg_param, threshold=threshold, labelCol="label", featuresCol="features")
 
 
 def area_under_roc(df: DataFrame, score_col: str, label_col: str = "label",
@@ -147,21 +147,29 @@ def area_under_roc(df: DataFrame, score_col: str, label_col: str = "label",
     return evaluator.evaluate(df)
 
 
-def grid_cross_validate(train: DataFrame, text_col: str, num_features_grid: Sequence[int],
+def grid_cross_validate(train: DataFrame, tokens_col: str, key: str, num_features_grid: Sequence[int],
                         min_doc_freq_grid: Sequence[int], folds: int = 2, seed: int = 1,
                         parallelism: int = 4):
     """Grid search over ``numFeatures`` × ``minDocFreq`` with k-fold CV
-    (area under ROC). Returns the fitted ``CrossValidatorModel``."""
-    pipeline, stages = logistic_pipeline(text_col)
-    hashing_tf, idf = stages[2], stages[3]
+    (area under ROC) from token rows. Returns the fitted model.
+
+    Folds come from a seeded hash of ``key``, so a recomputed partition falls
+    into the same folds. The tokens are persisted for the fits."""
+    hashing_tf = HashingTF(inputCol=tokens_col, outputCol="rawFeatures")
+    idf = IDF(inputCol="rawFeatures", outputCol="features")
     grid = (ParamGridBuilder()
             .addGrid(hashing_tf.numFeatures, list(num_features_grid))
             .addGrid(idf.minDocFreq, list(min_doc_freq_grid))
             .build())
     evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=pipeline, evaluator=evaluator, estimatorParamMaps=grid,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(train), hashing_tf, idf
+    cv = CrossValidator(estimator=Pipeline(stages=[hashing_tf, idf, logistic()]), evaluator=evaluator,
+                        estimatorParamMaps=grid, numFolds=folds, foldCol="_fold", parallelism=parallelism)
+    fold = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int")
+    rows = in_fit_order(train, key).withColumn("_fold", fold).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cv.fit(rows), hashing_tf, idf
+    finally:
+        rows.unpersist()
 
 
 def grid_results(spark: SparkSession, cv_model, hashing_tf, idf) -> DataFrame:

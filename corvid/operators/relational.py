@@ -50,11 +50,6 @@ def filter_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.filter(F.col(column).startswith(prefix))
 
 
-def filter_between(df: DataFrame, column: str, low, high) -> DataFrame:
-    """Closed range ``low <= column <= high``."""
-    return df.filter(F.col(column).between(low, high))
-
-
 def mean_per_key(df: DataFrame, key: str | Sequence[str], value: str,
                  alias: str = "avg_value") -> DataFrame:
     """Mean of ``value`` per key: a (sum, count) partial aggregate per task,
@@ -69,13 +64,6 @@ def count_per_key(df: DataFrame, key: str | Sequence[str], alias: str = "n") ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
 
 
-def mean_and_count_per_key(df: DataFrame, key: str, value: str,
-                           avg_alias: str = "avg_value", count_alias: str = "n") -> DataFrame:
-    """Both outputs of one (sum, count) accumulator in a single pass."""
-    return df.groupBy(key).agg(F.avg(value).alias(avg_alias),
-                               F.count(F.lit(1)).alias(count_alias))
-
-
 def having(df_agg: DataFrame, column: str, op: str, threshold) -> DataFrame:
     """Filter on an aggregate (``HAVING``); default use is strict ``>``."""
     return df_agg.filter(compare(column, op, threshold))
@@ -178,7 +166,9 @@ def sample_n(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) -> DataF
     """Exactly ``min(n, count)`` rows at random without replacement, repeatable.
 
     Orders by a seeded hash of the key and keeps the first ``n``: a top-n,
-    so no task or the driver ever holds more than ``tasks * n`` rows.
+    so each task keeps ``n`` rows and one task merges them. Meant for an
+    ``n`` that fits in a task's memory; a share of a large table is
+    ``sample_fraction``.
     """
     return (df.withColumn("_u", _hash_unit(key_cols, seed))
             .orderBy("_u", *key_cols).limit(n).drop("_u"))

@@ -13,7 +13,7 @@ from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.functions.text import split_keep_empty, split_lines
+from corvid.functions.text import split_keep_empty, split_tokens_of_lines
 
 
 def words(df: DataFrame, text_col: str, keep: Sequence[str] = (), sep: str = " ",
@@ -24,10 +24,7 @@ def words(df: DataFrame, text_col: str, keep: Sequence[str] = (), sep: str = " "
     which is what a plain ``line.split(" ")`` word count reports.
     """
     text = F.col(text_col)
-    if by_lines:
-        tokens = F.flatten(F.transform(split_lines(text), lambda line: split_keep_empty(line, sep)))
-    else:
-        tokens = split_keep_empty(text, sep)
+    tokens = split_tokens_of_lines(text, sep) if by_lines else split_keep_empty(text, sep)
     # explode_outer + a null filter equals explode here, and keeps the
     # optimizer from adding a size(tokens) > 0 filter that would evaluate
     # the split a second time
@@ -54,12 +51,13 @@ def stop_words_remover(input_col: str = "words", output_col: str = "filtered",
 
 
 def text_feature_stages(input_col: str, num_features: int = 1000, min_doc_freq: int = 0,
-                        features_col: str = "features") -> list:
-    """Tokenizer → stop words → hashed term frequencies → IDF."""
+                        features_col: str = "features", remove_stop_words: bool = True) -> list:
+    """Tokenizer → stop words (unless left in) → hashed term frequencies → IDF."""
+    kept = "filtered" if remove_stop_words else "words"
     return [
         tokenizer(input_col, "words"),
-        stop_words_remover("words", "filtered"),
-        HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=num_features),
+        *([stop_words_remover("words", "filtered")] if remove_stop_words else []),
+        HashingTF(inputCol=kept, outputCol="rawFeatures", numFeatures=num_features),
         IDF(inputCol="rawFeatures", outputCol=features_col, minDocFreq=min_doc_freq),
     ]
 
@@ -73,10 +71,13 @@ def filtered_tokens(df: DataFrame, text_col: str) -> DataFrame:
     return stop_words_remover("words", "filtered").transform(tokens(df, text_col, "words"))
 
 
+def hashing_tf(tokens_col: str, num_features: int = 1000, output_col: str = "rawFeatures") -> HashingTF:
+    return HashingTF(inputCol=tokens_col, outputCol=output_col, numFeatures=num_features)
+
+
 def hashed_tf(df: DataFrame, tokens_col: str, num_features: int = 1000,
               output_col: str = "rawFeatures") -> DataFrame:
-    return HashingTF(inputCol=tokens_col, outputCol=output_col,
-                     numFeatures=num_features).transform(df)
+    return hashing_tf(tokens_col, num_features, output_col).transform(df)
 
 
 def vector_sum(c: str):
@@ -93,9 +94,11 @@ def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str, n_docs=None) ->
     ``minDocFreq`` 0; ``N`` counts every document row (a scalar subquery over
     ``docs`` unless the caller passes a cheaper ``n_docs`` column).
     Document frequencies come from a partial + final aggregate over distinct
-    ``(doc, term)`` pairs and are joined back on ``term``; a term present in
-    nearly every document makes that join skewed, which AQE's skew-join
-    handling splits.
+    ``(doc, term)`` pairs and are joined back on ``term``. A term present in
+    nearly every document makes that join skewed. AQE splits such a partition
+    only if both sides are shuffled for the join alone, which the aggregate's
+    own partitioning would spare; the key is therefore named anew by an
+    expression, and the (small) frequencies are shuffled once more.
     """
     if n_docs is None:
         n_docs = docs.select(F.count(F.lit(1))).scalar()
@@ -105,6 +108,7 @@ def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str, n_docs=None) ->
     # reading tf's count keeps both branches on the same shuffle, which Spark
     # then runs once and reuses; cf is the term's total count
     doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    doc_freq = doc_freq.select(F.concat("term", F.lit("")).alias("term"), "df", "cf")
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return (tf.join(doc_freq, "term")
             .withColumn("idf", idf)

@@ -16,19 +16,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 from corvid.functions.text import path_segment
 from corvid.operators.text import word_counts
 from corvid.plans.registry import SQL_LINES, register
-from corvid.session import scratch_path, spread, table
+from corvid.session import scratch_path, table
 from corvid.sinks import files as sinks
 from corvid.sources import files as src
 
 SQL_TEXT_LINES = f"SELECT unnest({SQL_LINES}) AS value FROM documents"
 
 
-def _stage_text(spark: SparkSession, sf_dir: str, label: str, compression: str | None = None) -> str:
+def _stage_text(spark: SparkSession, sf_dir: str, label: str, compression: str | None = None,
+                line_sep: str | None = None) -> str:
     path = scratch_path(spark, label)
-    # at least one file per core, so the read-back (gzip is not splittable)
-    # runs in parallel
-    sinks.write_text(spread(table(spark, sf_dir, "documents").select("text")), path,
-                     "errorifexists", compression)
+    sinks.write_text(table(spark, sf_dir, "documents").select("text"), path,
+                     "errorifexists", compression, line_sep=line_sep)
     return path
 
 
@@ -38,29 +37,29 @@ def src_text_lines(spark, sf_dir):
     return src.read_text_lines(spark, _stage_text(spark, sf_dir, "text-lines"))
 
 
-@register("src_text_linesep")
+@register("src_text_linesep", "SELECT unnest(string_split(text, ',')) AS value FROM documents")
 def src_text_linesep(spark, sf_dir):
-    """Records cut at ``,`` instead of line ends; newlines stay in the value."""
-    return src.read_text_lines(spark, _stage_text(spark, sf_dir, "text-linesep"), line_sep=",")
+    """Records ended by ``,`` instead of line ends; newlines stay in the value."""
+    return src.read_text_lines(spark, _stage_text(spark, sf_dir, "text-linesep", line_sep=","), line_sep=",")
 
 
 @register("src_whole_files", r"""
-SELECT CAST(doc_id AS VARCHAR) AS id, text || chr(10) AS text, source AS topic FROM documents
+SELECT text || chr(10) AS text, source AS topic FROM documents
 """)
 def src_whole_files(spark, sf_dir):
-    """One row per file; id and topic from the path ``…/source=<topic>/doc_id=<id>/file``."""
+    """One row per file, one file per document; the topic from the path
+    ``…/source=<topic>/<file>``. Ids from paths are ``fn_path_segments``."""
     path = scratch_path(spark, "whole-files")
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
-    # one small file per document: spread the file creation over many tasks
-    # (hash of the unique doc_id, so no task gets a hot group)
-    writers = spark.sparkContext.defaultParallelism * 8
-    sinks.write_text(docs.repartition(writers, "doc_id"), path, "errorifexists",
-                     partition_by=["source", "doc_id"])
-    files = src.read_whole_files(spark, path, levels=2)
+    # one small file per document in its topic's folder (a folder per
+    # document would make commit and listing grow with the documents); by the
+    # hash of the unique doc_id, so a hot topic is written by all tasks
+    sinks.write_text(docs.repartition("doc_id").select("source", "text"), path, "errorifexists",
+                     partition_by=["source"], records_per_file=1)
+    files = src.read_whole_files(spark, path, levels=1)
     return files.select(
-        F.substring_index(path_segment("path", -2), "=", -1).alias("id"),
         F.col("value").alias("text"),
-        F.substring_index(path_segment("path", -3), "=", -1).alias("topic"),
+        F.substring_index(path_segment("path", -2), "=", -1).alias("topic"),
     )
 
 
@@ -124,6 +123,28 @@ def src_json_strings(spark, sf_dir):
     return src.parse_json_column(events, "props", "k INT").select("event_id", "parsed.k")
 
 
+@register("src_csv_inferred", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def src_csv_inferred(spark, sf_dir):
+    """Types inferred from the file (one more pass over it)."""
+    path = scratch_path(spark, "csv-inferred")
+    sinks.write_csv(table(spark, sf_dir, "nation"), path, header=True)
+    return src.read_csv(spark, path, header=True, infer_schema=True)
+
+
+@register("src_parquet_paths", """
+SELECT r_regionkey AS "key", r_name AS "name" FROM region
+UNION ALL SELECT n_nationkey, n_name FROM nation
+""")
+def src_parquet_paths(spark, sf_dir):
+    """Several parquet paths in one read."""
+    base = scratch_path(spark, "parquet-paths")
+    sinks.write_parquet(table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")), f"{base}/a")
+    sinks.write_parquet(table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("key"), F.col("n_name").alias("name")), f"{base}/b")
+    return src.read_parquet(spark, f"{base}/a", f"{base}/b")
+
+
 @register("src_parquet", "SELECT * FROM lineitem")
 def src_parquet(spark, sf_dir):
     """Generic ``load`` (default format parquet)."""
@@ -229,11 +250,14 @@ GROUP BY word
 def snk_text_overwrite(spark, sf_dir):
     """Word counts as ``word<TAB>count`` text, written twice to the same
     folder; the second run replaces the first."""
-    counts = word_counts(spread(table(spark, sf_dir, "documents").select("text")), "text")
+    counts = word_counts(table(spark, sf_dir, "documents").select("text"), "text")
     lines = counts.select(F.concat_ws("\t", "word", F.col("count").cast("string")).alias("value"))
-    path = scratch_path(spark, "text-overwrite")
-    sinks.write_text(lines, path, mode="overwrite")
-    sinks.write_text(lines, path, mode="overwrite")
+    path, first = scratch_path(spark, "text-overwrite"), scratch_path(spark, "text-first")
+    # counted once; what the first run wrote is what the second replaces it by
+    sinks.write_text(lines, first)
+    kept = src.read_text_lines(spark, first)
+    sinks.write_text(kept, path, mode="overwrite")
+    sinks.write_text(kept, path, mode="overwrite")
     return src.read_text_lines(spark, path)
 
 
@@ -248,8 +272,10 @@ def snk_parquet(spark, sf_dir):
 def snk_partitioned(spark, sf_dir):
     """Hive-style ``event_type=…`` folders; read back with the column rebuilt."""
     path = scratch_path(spark, "partitioned")
-    sinks.write_parquet(table(spark, sf_dir, "events"), path, partition_by=["event_type"])
-    return src.read_parquet(spark, path)
+    events = table(spark, sf_dir, "events")
+    sinks.write_parquet(events, path, partition_by=["event_type"])
+    # Spark reads the folder column last
+    return src.read_parquet(spark, path).select(*events.columns)
 
 
 def _table_name(label: str) -> str:

@@ -10,7 +10,7 @@ from corvid.functions.text import csv_field, like_label, path_segment
 from corvid.operators import relational as rel
 from corvid.operators.text import word_counts
 from corvid.plans.registry import SQL_LINES, register
-from corvid.session import spread, table
+from corvid.session import table
 from corvid.sources.files import parse_csv_column
 
 # Fixed parameters of the queries.
@@ -67,7 +67,7 @@ def prj_from_csv(spark, sf_dir):
     """Delimited lines parsed back into typed fields (``from_csv``), plus one
     field cut by position."""
     nation = table(spark, sf_dir, "nation")
-    lines = nation.select(F.concat_ws(",", "n_nationkey", "n_name", "n_regionkey").alias("line"))
+    lines = nation.select(F.to_csv(F.struct("n_nationkey", "n_name", "n_regionkey")).alias("line"))
     parsed = parse_csv_column(lines, "line", "n_nationkey INT, n_name STRING, n_regionkey INT")
     return parsed.select("parsed.*", csv_field("line", 1).alias("name_field"))
 
@@ -157,14 +157,14 @@ FROM (SELECT unnest({SQL_LINES}) AS line FROM documents)
 @register("wordcount", f"SELECT word, count(*) AS count FROM ({SQL_WORDS}) GROUP BY word")
 def wordcount(spark, sf_dir):
     """Word count over every line of every document; empty tokens kept."""
-    return word_counts(spread(table(spark, sf_dir, "documents").select("text")), "text")
+    return word_counts(table(spark, sf_dir, "documents").select("text"), "text")
 
 
 @register("agg_grand_total", f"""
 SELECT 'all_times:' AS label, CAST(count(*) AS BIGINT) AS total FROM ({SQL_WORDS})
 """)
 def agg_grand_total(spark, sf_dir):
-    counts = word_counts(spread(table(spark, sf_dir, "documents").select("text")), "text")
+    counts = word_counts(table(spark, sf_dir, "documents").select("text"), "text")
     return rel.grand_total(counts, "count", "all_times:", "total")
 
 
@@ -225,17 +225,17 @@ def agg_distinct(spark, sf_dir):
 
 
 @register("agg_drop_duplicates", """
-SELECT DISTINCT source, lang, text FROM documents WHERE source LIKE 'src1%'
+SELECT DISTINCT source, lang, text FROM documents
 """)
 def agg_drop_duplicates(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
-    return rel.drop_duplicates(rel.filter_prefix(docs, "source", "src1"))
+    """Repeated rows of the whole table once."""
+    return rel.drop_duplicates(table(spark, sf_dir, "documents").select("source", "lang", "text"))
 
 
 def _genres(spark, sf_dir) -> DataFrame:
     """Part names as a ``|``-joined multi-value field (one value per word)."""
     part = table(spark, sf_dir, "part")
-    return part.select(F.concat_ws("|", F.split("p_name", " ")).alias("genres"))
+    return part.select(F.replace("p_name", F.lit(" "), F.lit("|")).alias("genres"))
 
 
 @register("agg_multivalue_distinct", """

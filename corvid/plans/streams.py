@@ -19,10 +19,11 @@ from corvid.sources.files import read_parquet
 from corvid.streaming import folder_stream as ts
 from corvid.streaming import windows as win
 
-TIMEOUT_S = 900
-FILES_PER_TRIGGER = 8
 HOT_K = 3
 WINDOW = "1 hour"
+# How late an event may come: a window is complete, and its state dropped, this
+# long after its end.
+WATERMARK = "10 minutes"
 SLIDE = "30 minutes"
 
 
@@ -30,9 +31,8 @@ def _run_period_word_counts(spark: SparkSession, sf_dir: str) -> str:
     source = scratch_path(spark, "stream-in")
     ts.stage_lines_by_period(table(spark, sf_dir, "documents"), "text", "source", source)
     sink, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
-    query = ts.start_batch_word_counts(ts.text_stream(spark, source, FILES_PER_TRIGGER),
-                                       sink, checkpoint)
-    ts.await_query(query, TIMEOUT_S)
+    query = ts.start_batch_word_counts(ts.text_stream(spark, source), sink, checkpoint)
+    ts.await_query(query)
     return sink
 
 
@@ -51,7 +51,7 @@ def str_text_source(spark, sf_dir):
     lines = spark.readStream.schema("value STRING").text(source)
     query = (lines.writeStream.format("parquet").option("path", sink)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    ts.await_query(query, TIMEOUT_S)
+    ts.await_query(query)
     return read_parquet(spark, sink)
 
 
@@ -66,7 +66,7 @@ def str_restart(spark, sf_dir):
         lines = spark.readStream.schema("value STRING").text(source)
         query = (lines.writeStream.format("parquet").option("path", sink)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        ts.await_query(query, TIMEOUT_S)
+        ts.await_query(query)
     return read_parquet(spark, sink)
 
 
@@ -102,10 +102,10 @@ def str_hot_words(spark, sf_dir):
 def _events_window(spark, sf_dir, keys=(), value_col=None, slide=None):
     events = table(spark, sf_dir, "events")
     stream = win.table_stream(spark, sf_dir, "events", events.schema)
-    agg = win.windowed_aggregate(stream, "ts", WINDOW, slide, keys, value_col)
+    agg = win.windowed_aggregate(stream, "ts", WINDOW, slide, keys, value_col, watermark=WATERMARK)
     sink, checkpoint = scratch_path(spark, "win-out"), scratch_path(spark, "win-ck")
-    ts.await_query(win.start_complete(agg, sink, checkpoint), TIMEOUT_S)
-    return read_parquet(spark, sink)
+    ts.await_query(win.start_update(agg, sink, checkpoint))
+    return win.latest_windows(spark, sink, keys, value_col)
 
 
 SQL_BUCKET = "time_bucket(INTERVAL '1 hour', ts)"
@@ -152,24 +152,3 @@ FROM w GROUP BY 1, 2, 3
 def str_window_key_count_sliding(spark, sf_dir):
     """Events per type over 1-hour windows sliding every 30 minutes."""
     return _events_window(spark, sf_dir, keys=["event_type"], slide=SLIDE)
-
-
-WATERMARK = "10 minutes"
-
-
-@register("str_window_count_watermark", f"""
-SELECT {SQL_BUCKET} AS window_start, {SQL_BUCKET} + INTERVAL '1 hour' AS window_end, count(*) AS n
-FROM events GROUP BY 1, 2
-HAVING {SQL_BUCKET} + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '{WATERMARK}'
-""")
-def str_window_count_watermark(spark, sf_dir):
-    """Events per 1-hour window in append mode with a 10-minute watermark:
-    each window is written once, when the watermark passes its end, and its
-    state is dropped (bounded state for a stream that never ends). Windows
-    still open at the end of the input are not written."""
-    events = table(spark, sf_dir, "events")
-    stream = win.table_stream(spark, sf_dir, "events", events.schema)
-    agg = win.windowed_aggregate(stream, "ts", WINDOW, watermark=WATERMARK)
-    sink, checkpoint = scratch_path(spark, "wm-out"), scratch_path(spark, "wm-ck")
-    ts.await_query(win.start_append(agg, sink, checkpoint), TIMEOUT_S)
-    return read_parquet(spark, sink)

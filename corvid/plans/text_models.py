@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +13,21 @@ from corvid.operators.relational import train_test
 from corvid.operators.text import (
     filtered_tokens,
     hashed_tf,
+    hashing_tf,
     text_feature_stages,
     tfidf_terms,
     tokens,
     vector_sum,
 )
 from corvid.plans.registry import SQL_TOKENS, register, sql_filtered_tokens
-from corvid.session import spread, table
+from corvid.session import scratch_path, table
 
 # Fixed parameters, as in the reference runs.
 NUM_FEATURES = 1000
 KMEANS_K = 3
 KMEANS_SEED = 1
+PLAIN_NUM_FEATURES = 20
+PLAIN_K = 5
 SWEEP_KS = range(2, 10)
 SPLIT_SEED = 12345
 TRAIN_FRACTION = 0.8
@@ -32,25 +36,42 @@ GRID_MIN_DOC_FREQ = (0, 10, 100)
 CV_FOLDS = 2
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+def _doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def _doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    """Written once to the shared folder: every fit, evaluation and transform
+    reads it instead of tokenizing the texts again."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _term_frequencies(spark: SparkSession, sf_dir: str, num_features: int = NUM_FEATURES,
+                      remove_stop_words: bool = True) -> DataFrame:
+    """``doc_id, source, rawFeatures`` of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    stages = text_feature_stages("text", num_features, 0, remove_stop_words=remove_stop_words)[:-1]
+    return _staged(PipelineModel(stages).transform(docs).select("doc_id", "source", "rawFeatures"), "tf")
 
 
-def _split_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return train_test(_documents(spark, sf_dir), ["doc_id"], TRAIN_FRACTION, SPLIT_SEED)
+def _labelled_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label, filtered`` of the labelled documents."""
+    docs = filtered_tokens(_doc_text(spark, sf_dir), "text").select("doc_id", "filtered")
+    return _staged(docs.join(_labels(spark, sf_dir), "doc_id"), "tokens")
 
 
-def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    # not spread: logistic regression's cost here is aggregating one
-    # numFeatures-long gradient per partition per iteration, which more
-    # partitions of a small labelled set only multiply
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return docs.join(labels, "doc_id")
+def _idf(min_doc_freq: int = 0) -> IDF:
+    return IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq)
+
+
+def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return train_test(df, ["doc_id"], TRAIN_FRACTION, SPLIT_SEED)
 
 
 @register("txt_tokens", f"""
@@ -80,13 +101,21 @@ def txt_hashing_tf(spark, sf_dir):
     return tf.select("doc_id", vector_sum("rawFeatures").alias("tf_sum"))
 
 
+@register("txt_hashing_tf_plain", f"""
+SELECT doc_id, CAST(len({SQL_TOKENS}) AS DOUBLE) AS tf_sum FROM documents
+""")
+def txt_hashing_tf_plain(spark, sf_dir):
+    """Hashed term frequencies in 20 buckets, stop words left in."""
+    tf = hashed_tf(tokens(_doc_text(spark, sf_dir), "text"), "words", PLAIN_NUM_FEATURES, "rawFeatures")
+    return tf.select("doc_id", vector_sum("rawFeatures").alias("tf_sum"))
+
+
 @register("txt_idf_vectors")
 def txt_idf_vectors(spark, sf_dir):
     """TF-IDF vectors: IDF fitted over all documents (one distributed pass
     for document frequencies), then applied."""
-    docs = _doc_text(spark, sf_dir)
-    model = Pipeline(stages=text_feature_stages("text", NUM_FEATURES, 0)).fit(docs)
-    out = model.transform(docs)
+    tf = _term_frequencies(spark, sf_dir)
+    out = _idf().fit(tf).transform(tf)
     values = vector_to_array("features")
     return out.select("doc_id",
                       F.size(F.filter(values, lambda x: x != 0)).alias("n_nonzero"),
@@ -125,9 +154,9 @@ def ml_string_index(spark, sf_dir):
 
 
 def _fit_text_kmeans(spark, sf_dir):
-    train, test = _split_documents(spark, sf_dir)
-    pipeline = ml.text_kmeans_pipeline("text", KMEANS_K, KMEANS_SEED, NUM_FEATURES)
-    return ml.fit_staged(pipeline.getStages(), train), test
+    train, test = _split(_term_frequencies(spark, sf_dir))
+    stages = [_idf(), ml.kmeans(KMEANS_K, KMEANS_SEED)]
+    return ml.fit_staged(stages, ml.in_fit_order(train, "doc_id")), test
 
 
 @register("ml_text_kmeans")
@@ -144,6 +173,26 @@ def ml_cluster_centers(spark, sf_dir):
     return ml.cluster_centers(spark, model.stages[-1])
 
 
+def _plain_clusters(spark, sf_dir) -> DataFrame:
+    tf = _term_frequencies(spark, sf_dir, PLAIN_NUM_FEATURES, remove_stop_words=False)
+    model = ml.fit_staged([_idf(), ml.kmeans(PLAIN_K, KMEANS_SEED)], ml.in_fit_order(tf, "doc_id"))
+    return model.transform(tf)
+
+
+@register("ml_text_kmeans_plain")
+def ml_text_kmeans_plain(spark, sf_dir):
+    """k-means (k=5) on 20 buckets with stop words left in, fitted on and
+    predicting the same documents."""
+    return _plain_clusters(spark, sf_dir).select("doc_id", "source", "prediction")
+
+
+@register("ml_text_silhouette_plain")
+def ml_text_silhouette_plain(spark, sf_dir):
+    """Silhouette of that clustering on the rows it was fitted on."""
+    score = ml.silhouette(_plain_clusters(spark, sf_dir).select("features", "prediction"))
+    return spark.createDataFrame([(score,)], "silhouette DOUBLE")
+
+
 SQL_SILHOUETTE = """
 WITH el AS (
   SELECT vec_id, label, t.i, CAST(embedding[t.i] AS DOUBLE) AS v
@@ -185,26 +234,29 @@ def ml_silhouette(spark, sf_dir):
 @register("ml_k_sweep")
 def ml_k_sweep(spark, sf_dir):
     """(k, silhouette, training cost) for k = 2..9, features computed once."""
-    train, test = _split_documents(spark, sf_dir)
-    features = ml.fit_staged(text_feature_stages("text", NUM_FEATURES, 0), train)
-    return ml.kmeans_sweep(spark, features.transform(train).select("doc_id", "features"),
-                           features.transform(test).select("doc_id", "features"),
+    train, test = _split(_term_frequencies(spark, sf_dir))
+    train = ml.in_fit_order(train, "doc_id")
+    idf = _idf().fit(train)
+    return ml.kmeans_sweep(spark, idf.transform(train).select("doc_id", "features"),
+                           idf.transform(test).select("doc_id", "features"),
                            SWEEP_KS, KMEANS_SEED)
 
 
-def _split_labelled(spark, sf_dir):
-    return train_test(_labelled_documents(spark, sf_dir), ["doc_id"], TRAIN_FRACTION, SPLIT_SEED)
+def _logistic_stages() -> list:
+    return [hashing_tf("filtered", NUM_FEATURES), _idf(), ml.logistic()]
 
 
 @register("ml_logistic")
 def ml_logistic(spark, sf_dir):
     """Logistic regression (regParam 0.01, threshold 0.5) on TF-IDF of the
-    document text, label = quality."""
-    train, test = _split_labelled(spark, sf_dir)
-    pipeline, _ = ml.logistic_pipeline("text", NUM_FEATURES, 0)
-    predictions = ml.fit_staged(pipeline.getStages(), train).transform(test)
-    return predictions.select("doc_id", "label", "prediction",
-                              vector_to_array("probability")[1].alias("p_positive"))
+    document text, label = quality. Texts are hashed before the join with the
+    labels, which so shuffles vectors, not texts."""
+    docs = filtered_tokens(_doc_text(spark, sf_dir), "text")
+    tf = hashed_tf(docs, "filtered", NUM_FEATURES).select("doc_id", "rawFeatures")
+    train, test = _split(_staged(tf.join(_labels(spark, sf_dir), "doc_id"), "labelled-tf"))
+    model = ml.fit_staged([_idf(), ml.logistic()], ml.in_fit_order(train, "doc_id"))
+    return model.transform(test).select("doc_id", "label", "prediction",
+                                        vector_to_array("probability")[1].alias("p_positive"))
 
 
 @register("ml_auc", """
@@ -221,31 +273,31 @@ SELECT round((rsum - p * (p + 1) / 2) / (p * n), 6) AS auc FROM t
 """)
 def ml_auc(spark, sf_dir):
     """Exact area under ROC of ``n_chars`` as a score for quality."""
-    docs = _labelled_documents(spark, sf_dir).select(
-        F.col("n_chars").cast("double").alias("score"), "label")
+    sizes = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("double").alias("score"))
+    docs = sizes.join(_labels(spark, sf_dir), "doc_id").select("score", "label")
     auc = ml.area_under_roc(docs, "score", "label", num_bins=0)
     return spark.createDataFrame([(round(auc, 6),)], "auc DOUBLE")
 
 
+def _grid_search(train: DataFrame):
+    return ml.grid_cross_validate(train, "filtered", "doc_id", GRID_NUM_FEATURES, GRID_MIN_DOC_FREQ, CV_FOLDS)
+
+
 @register("ml_grid_cv")
 def ml_grid_cv(spark, sf_dir):
     """2-fold cross-validation over numFeatures × minDocFreq; one row per point."""
-    train, _ = _split_labelled(spark, sf_dir)
-    cv_model, hashing_tf, idf = ml.grid_cross_validate(train, "text", GRID_NUM_FEATURES,
-                                                       GRID_MIN_DOC_FREQ, CV_FOLDS)
-    return ml.grid_results(spark, cv_model, hashing_tf, idf)
+    train, _ = _split(_labelled_tokens(spark, sf_dir))
+    return ml.grid_results(spark, *_grid_search(train))
 
 
 @register("ml_tuning_gain")
 def ml_tuning_gain(spark, sf_dir):
     """Test-set AUC of the untuned pipeline vs the cross-validated best, and
     the gain in percent."""
-    train, test = _split_labelled(spark, sf_dir)
-    pipeline, _ = ml.logistic_pipeline("text", NUM_FEATURES, 0)
-    untuned = ml.area_under_roc(ml.fit_staged(pipeline.getStages(), train).transform(test),
-                                "rawPrediction")
-    cv_model, _, _ = ml.grid_cross_validate(train, "text", GRID_NUM_FEATURES,
-                                            GRID_MIN_DOC_FREQ, CV_FOLDS)
+    train, test = _split(_labelled_tokens(spark, sf_dir))
+    untuned = ml.area_under_roc(
+        ml.fit_staged(_logistic_stages(), ml.in_fit_order(train, "doc_id")).transform(test), "rawPrediction")
+    cv_model, _, _ = _grid_search(train)
     tuned = ml.area_under_roc(cv_model.transform(test), "rawPrediction")
     gain = (tuned - untuned) * 100.0 / untuned if untuned else None
     return spark.createDataFrame([(untuned, tuned, gain)],

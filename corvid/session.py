@@ -25,20 +25,24 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[8]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app_name: str = "corvid",
     checkpoint_dir: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the defaults above.
+    """Create (or reuse) a session with the defaults above. The master and
+    the number of shuffle partitions stay as submitted unless given here.
 
     On a cluster, ``spark.checkpoint.dir`` names a shared folder and must be
     set by the deployment; ``checkpoint_dir`` is only for local runs and tests.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if checkpoint_dir:
         conf["spark.checkpoint.dir"] = checkpoint_dir
         conf["spark.sql.warehouse.dir"] = f"{checkpoint_dir.rstrip('/')}/warehouse"
@@ -70,22 +74,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder name under the shared directory (not created)."""
-    return f"{shared_dir(spark).rstrip('/')}/corvid/{label}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work (tokenizing, model fitting) at least one
-    partition per core.
+    """A fresh, unique folder name under the shared directory (not created).
 
-    A large input already scans as many splits and is returned unchanged (no
-    shuffle); only an input with fewer scan partitions than the cluster's
-    parallelism (one small file, one row group) is spread round-robin.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    Spark gives each application its own folder below ``spark.checkpoint.dir``,
+    so everything a session staged lies under one parent; whoever runs the
+    session removes that parent once its results have been read."""
+    return f"{shared_dir(spark).rstrip('/')}/corvid/{label}-{uuid.uuid4().hex}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,9 +2,8 @@
 
 Writers never delete folders by hand: replacing an earlier run is
 ``mode("overwrite")``, and the default mode fails if the target exists.
-Bucketed tables are written after a ``repartition`` on the bucket column
-with the same bucket count, so each task writes exactly one bucket file per
-output partition instead of one per bucket.
+Bucketed tables are written after a rebalance on the bucket column, so a task
+writes the files of few buckets and a large bucket is written by several.
 """
 
 from __future__ import annotations
@@ -26,11 +25,14 @@ def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None, option
 
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite",
-               compression: str | None = None, partition_by: Sequence[str] | None = None) -> None:
-    """Text output: one string column per row (plus partition columns).
+               compression: str | None = None, partition_by: Sequence[str] | None = None,
+               line_sep: str | None = None, records_per_file: int | None = None) -> None:
+    """Text output: one string column per row (plus partition columns), ended
+    by ``line_sep`` (default: a line feed).
     ``gzip`` output is not splittable on read; prefer ``zstd``/``bzip2`` for
     large files that will be read back in parallel."""
-    _writer(df, mode, partition_by, {"compression": compression}).text(path)
+    _writer(df, mode, partition_by, {"compression": compression, "lineSep": line_sep,
+                                     "maxRecordsPerFile": records_per_file}).text(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
@@ -62,27 +64,20 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists",
 
 def save_bucketed_table(df: DataFrame, name: str, path: str, buckets: int, bucket_col: str,
                         sort_col: str | None = None, partition_by: Sequence[str] | None = None,
-                        fmt: str = "parquet", mode: str = "errorifexists", spread: int = 1) -> None:
+                        fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """External catalog table, bucketed (and optionally sorted / partitioned).
 
     Joins and aggregations on ``bucket_col`` between tables bucketed the same
     way read without a shuffle. The data lives at ``path`` (a shared folder),
     not in a machine-local warehouse.
 
-    With ``spread`` 1 the rows are first shuffled into exactly ``buckets``
-    tasks, one file per bucket. A bucket holds every row of its keys, so a
-    key with a third of the rows makes one task write a third of the data;
-    ``spread`` > 1 splits each bucket over that many tasks (by row position,
-    so exact duplicate rows are split too), writing up to ``spread`` files
-    per bucket.
+    The rows are rebalanced on the bucket column: small buckets share a task
+    and a bucket above the advisory partition size is split over several, each
+    writing a file of it, so a key with a third of the rows doesn't hold up
+    the write. A bucket may then have several files; reads stay shuffle-free.
     """
-    if spread > 1:
-        bucket_id = F.pmod(F.hash(F.col(bucket_col)), F.lit(buckets))
-        salt = F.pmod(F.monotonically_increasing_id(), F.lit(spread))
-        shuffled = df.repartition(buckets * spread, bucket_id, salt)
-    else:
-        shuffled = df.repartition(buckets, bucket_col)
-    writer = (shuffled.write.mode(mode).format(fmt)
+    rebalanced = df.hint("rebalance", buckets, F.col(bucket_col))
+    writer = (rebalanced.write.mode(mode).format(fmt)
               .option("path", path).bucketBy(buckets, bucket_col))
     if sort_col:
         writer = writer.sortBy(sort_col)

@@ -15,7 +15,6 @@ from corvid.sources.files import (
     read_whole_files,
     session_conf,
     sql_on_file,
-    whole_files_as_documents,
     with_declared_schema,
 )
 from corvid.sources.jdbc import read_jdbc, read_jdbc_method
@@ -39,6 +38,5 @@ __all__ = [
     "read_whole_files",
     "session_conf",
     "sql_on_file",
-    "whole_files_as_documents",
     "with_declared_schema",
 ]

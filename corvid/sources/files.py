@@ -17,8 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corvid.functions.text import path_segment
-
 # Microsecond precision for timestamps in text formats; the writers'
 # default pattern keeps only milliseconds.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -61,14 +59,6 @@ def read_whole_files(spark: SparkSession, path: str, recursive: bool = False,
     return df.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def whole_files_as_documents(files: DataFrame, id_position: int = -1,
-                             topic_position: int = -2) -> DataFrame:
-    """``(id, text, topic)`` from ``…/<topic>/<id>`` paths of whole files."""
-    return files.select(path_segment("path", id_position).alias("id"),
-                        F.col("value").alias("text"),
-                        path_segment("path", topic_position).alias("topic"))
-
-
 def read_csv(spark: SparkSession, path: str | Sequence[str], header: bool = False,
              schema: StructType | str | None = None, infer_schema: bool = False,
              sep: str | None = None, **options) -> DataFrame:

@@ -11,7 +11,8 @@ from corvid.streaming.folder_stream import (
 from corvid.streaming.windows import (
     flatten_window,
     start_append,
-    start_complete,
+    latest_windows,
+    start_update,
     table_stream,
     windowed_aggregate,
 )
@@ -26,7 +27,8 @@ __all__ = [
     "stage_lines_by_period",
     "start_append",
     "start_batch_word_counts",
-    "start_complete",
+    "latest_windows",
+    "start_update",
     "table_stream",
     "text_stream",
     "windowed_aggregate",

@@ -36,11 +36,13 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.text(path)
 
 
-def await_query(query: StreamingQuery, timeout_s: float) -> None:
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def await_query(query: StreamingQuery, limit_s: float | None = None) -> None:
+    """Wait for the query's end: without a limit, unless the caller gives one."""
+    if limit_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(limit_s):
         query.stop()
-        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {limit_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
@@ -70,7 +72,9 @@ def batch_counts(spark: SparkSession, sink: str) -> DataFrame:
     """The per-batch counts written so far (empty if no batch ran)."""
     try:
         return spark.read.parquet(f"{sink}/counts")
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], COUNT_SCHEMA)
 
 

@@ -5,8 +5,10 @@ Tumbling windows (``slide`` omitted) and sliding windows are
 store keeps one aggregate per open window and key, replacing the
 reference's inverse-function window reductions.
 
-Two output modes:
-* ``complete`` (tests, small state): every trigger rewrites the full result.
+Output modes, both with a watermark so that state stays bounded:
+* ``update``: every batch writes the windows it changed under its own batch
+  id, replacing that batch's folder if it is replayed; the latest row of each
+  window is its result, so windows still open are there too.
 * ``append`` with a watermark (production): a window is emitted once the
   watermark passes its end and its state is dropped, so state stays bounded.
   ``withWatermark`` needs a ``timestamp`` column; ``timestamp_ntz`` input is
@@ -56,19 +58,29 @@ def flatten_window(df: DataFrame, ntz: bool = True) -> DataFrame:
     return df.select(start.alias("window_start"), end.alias("window_end"), *rest)
 
 
-def start_complete(agg: DataFrame, sink: str, checkpoint: str,
-                   trigger_seconds: float | None = None) -> StreamingQuery:
-    """Complete mode into a parquet folder rewritten on every trigger."""
+def start_update(agg: DataFrame, sink: str, checkpoint: str,
+                 trigger_seconds: float | None = None) -> StreamingQuery:
+    """Update mode into ``sink/batch_id=<id>``: a batch holds the new values
+    of the windows it changed, and a replayed batch overwrites only itself."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        flatten_window(batch).write.mode("overwrite").parquet(sink)
+        flatten_window(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    writer = (agg.writeStream.outputMode("complete").foreachBatch(handle)
+    writer = (agg.writeStream.outputMode("update").foreachBatch(handle)
               .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(processingTime=f"{trigger_seconds} seconds") if trigger_seconds
               else writer.trigger(availableNow=True))
     return writer.start()
 
 
+def latest_windows(spark: SparkSession, sink: str, keys: Sequence[str] = (),
+                   value_col: str | None = None) -> DataFrame:
+    """The current result of ``start_update``: for every window (and key) the
+    values of the last batch that changed it."""
+    values = ["n"] + (["total"] if value_col else [])
+    return (spark.read.parquet(sink).groupBy("window_start", "window_end", *keys)
+            .agg(*[F.max_by(v, "batch_id").alias(v) for v in values]))
+
+
 def start_append(agg: DataFrame, sink: str, checkpoint: str,
                  trigger_seconds: float | None = None) -> StreamingQuery:
     """Append mode (needs a watermark) into a parquet file sink; the sink's

@@ -63,11 +63,11 @@ def test_stream_restart_adds_nothing(spark, workdir):
 
 
 MOVIES = """movieId,title,genres
-1,"Hijacking Catastrophe: 9/11, Fear",Documentary
-2,Little Criminals (1995),Crime|Drama
-3,Henry V (1989),Drama|War
-4,Unrated (2001),Comedy|Drama
-5,Four Stars (2010),Drama
+1,"Weather Report: 5/7, Rain",Documentary
+2,Small Harbours (1991),Crime|Drama
+3,Anna K (1985),Drama|War
+4,Unseen (2003),Comedy|Drama
+5,Quarter Moon (2012),Drama
 """
 RATINGS = """userId,movieId,rating
 10,1,5.0
@@ -94,7 +94,7 @@ def test_ratings_questions(spark, workdir):
     above = rel.having(means, "avg_rating", ">", 4)
     joined = rel.join_on_key(movies, above, "movieId").orderBy("movieId").collect()
     assert [(r["movieId"], r["title"]) for r in joined] == [
-        (1, "Hijacking Catastrophe: 9/11, Fear"), (3, "Henry V (1989)")]
+        (1, "Weather Report: 5/7, Rain"), (3, "Anna K (1985)")]
     genres = rel.multivalue_distinct(movies, "genres", "|").collect()[0][0]
     assert genres == 5
     counts = {r["movieId"]: r["n"] for r in rel.count_per_key(ratings, "movieId").collect()}

@@ -63,15 +63,28 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
 
 
-def test_bucketed_write_spreads_a_hot_key(spark, sf_dir):
-    # a key holding most rows is written by several tasks when spread > 1,
-    # and the table still joins without a shuffle and keeps every row
+def test_bucketed_write_splits_a_hot_key(spark, sf_dir):
+    # a bucket that holds most rows is written by several tasks, and the table
+    # still reads without a shuffle and keeps every row
+    # (split by the writing tasks' input, so the table comes from several files)
     lineitem = table(spark, sf_dir, "lineitem")
-    hot = lineitem.withColumn("k", F.when(F.col("l_linenumber") <= 4, F.lit(0))
-                              .otherwise(F.col("l_orderkey")))
+    copy = scratch_path(spark, "hot-input")
+    (lineitem.withColumn("k", F.when(F.col("l_linenumber") <= 4, F.lit(0)).otherwise(F.col("l_orderkey")))
+     .repartition(6).write.parquet(copy))
     name = "corvid_t_hot_b"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    save_bucketed_table(hot, name, scratch_path(spark, name), 8, "k", spread=4)
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
+            "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "64k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.read.parquet(copy)
+        save_bucketed_table(hot, name, scratch_path(spark, name), 8, "k")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     back = spark.table(name)
     assert back.count() == lineitem.count()
     assert back.filter(F.col("k") == 0).count() == hot.filter(F.col("k") == 0).count()
@@ -79,3 +92,30 @@ def test_bucketed_write_spreads_a_hot_key(spark, sf_dir):
     assert files > 1
     plan = back.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_tfidf_join_splits_a_term_of_every_document(spark):
+    # without broadcasts, the partition of the term that all documents have is
+    # split at run time
+    from corvid.operators.text import tfidf_terms
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.range(0, 60000, 1, 8).select(
+            F.col("id").alias("doc_id"), F.array(F.lit("hot"), F.concat(F.lit("t"), F.col("id") % 997)).alias("terms"))
+        out = tfidf_terms(docs, "doc_id", "terms")
+        rows = out.collect()
+        assert len(rows) == 120000
+        assert {r.df for r in rows if r.term == "hot"} == {60000}
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
