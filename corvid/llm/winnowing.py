@@ -90,9 +90,10 @@ def _block_of(doc_id: Column, bounds: list[int]) -> Column:
     return F.when(doc_id.isNull(), len(bounds) + 1).otherwise(skipped + inside)
 
 
-def with_next(docs: DataFrame, columns: list[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Add ``next_<column>`` of the row that follows by ascending ``doc_id``
-    (after the last: the first).
+def with_next(docs: DataFrame, columns: list[str], derived=lambda rows: rows,
+              block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``derived(docs)`` with ``next_<column>`` of the row that follows by
+    ascending ``doc_id`` (after the last: the first).
 
     Rows are dealt into ranges of ids of about ``block_bytes`` each by
     quantiles of the ids, so no task orders all of them; the last row of a
@@ -107,7 +108,8 @@ def with_next(docs: DataFrame, columns: list[str], block_bytes: int = BLOCK_BYTE
     first = (dealt.join(F.broadcast(least.withColumnRenamed("_block", "_of")),     # at most MAX_BLOCKS + 1 rows
                         (F.col("_block") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_least")))
              .withColumn("_row", F.row_number().over(Window.partitionBy("_block").orderBy(*order)))
-             .where("_row = 1").select("_block", *columns))
+             .where("_row = 1").select("_block", "doc_id", "text"))
+    first, dealt = derived(first), derived(dealt)
     ranges = Window.orderBy("_block")
     every = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     following = first.select("_block", *[
@@ -116,7 +118,7 @@ def with_next(docs: DataFrame, columns: list[str], block_bytes: int = BLOCK_BYTE
     inside = Window.partitionBy("_block").orderBy(*order)
     led = dealt.select("*", *[F.lead(F.struct(c)).over(inside).alias(f"_next_{c}") for c in columns])
     joined = led.join(following, "_block")
-    return joined.select(*docs.columns, *[
+    return joined.select(*docs.columns, *[c for c in columns if c not in docs.columns], *[
         F.when(F.col(f"_next_{c}").isNull(), F.col(f"_head_{c}")).otherwise(F.col(f"_next_{c}")[c]).alias(f"next_{c}")
         for c in columns])
 
@@ -126,7 +128,7 @@ def edited_pairs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, block_
     replaced by as much of the next document's beginning), with likenesses."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(with_marks(rows, "text", "marks", gram, window), ["text", "marks"], block_bytes)
+    rows = with_next(rows, ["text", "marks"], lambda r: with_marks(r, "text", "marks", gram, window), block_bytes)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = (rows.withColumn("n_chars", F.char_length("text").cast("long"))
             .withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
