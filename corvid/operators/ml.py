@@ -25,8 +25,9 @@ from pyspark import StorageLevel
 
 
 # Partitions of a fit's input: k-means seeding follows partitions and row
-# order, so both are fixed here instead of following the cluster.
-FIT_PARTITIONS = 32
+# order, so both are fixed here instead of following the cluster. Large
+# corpora pass more (the model then differs from that of fewer).
+FIT_PARTITIONS = 8
 
 
 def in_fit_order(features: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
