@@ -248,5 +248,7 @@ def read_archives(manifest: DataFrame, keep_payload: bool = True) -> DataFrame:
 
     spec = ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
             + ", payload binary" * keep_payload)
-    # archives are dealt out anew: one that a long task wrote is one task's reading
-    return manifest.select("archive").repartition("archive").mapInArrow(read, spec)
+    # as many tasks as archives; a shuffle of so few rows would be coalesced
+    # into one task if its number of partitions were left open
+    archives = max(1, manifest.count())
+    return manifest.select("archive").repartition(archives, "archive").mapInArrow(read, spec)
