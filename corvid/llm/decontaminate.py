@@ -8,8 +8,10 @@ whole in one passage. Each passage is a query: all segments whose BM25 score
 reaches ``MIN_SCORE`` of what the segment scores against itself are
 retrieved (impacts are stored as that share, so one threshold holds for all).
 Block-max WAND skips postings by upper bounds of whole lists and of blocks of
-segments; passages that cannot reach the threshold by the sum of such bounds
-are found for a whole batch at once, before any list is opened. A retrieved
+segments. Passages that cannot reach the threshold are found for a whole batch
+at once, before any list is opened: by the sum of whole lists' bounds, and by
+what each segment gets from its essential words, those left when its commonest
+words (``SPARE`` of its score at most) are taken to be all there. A retrieved
 item counts as leaked if both its question (all sentences but the last) and
 its answer (the last; halves of a single sentence) overlap with the text
 around the passage: at least ``MIN_OVERLAP`` of their words stand there in
@@ -46,6 +48,9 @@ MIN_ITEM_WORDS = 5
 K1, B = 1.2, 0.75
 # Segments per block of a posting list.
 BLOCK = 8
+# Share of a segment's own score that its commonest words may make up before
+# their postings count as essential; below MIN_SCORE.
+SPARE = 0.3
 SHARD_ITEMS = 20_000
 SHARD_BYTES = 16 << 20
 CHUNK_CHARS = 1 << 20
@@ -102,17 +107,30 @@ class Index:
         self.lists = [np.array([a for a, _ in postings[w]], np.int64) for w in self.terms]
         self.impacts = [np.array([x for _, x in postings[w]]) for w in self.terms]
         self.most = np.array([x.max() for x in self.impacts]) if self.terms else np.zeros(0)
-        self.blocks = -(-len(segments) // BLOCK)
-        # block maxima of every list, one list after the other
-        self.block_of, self.block_most, first = [], [], [0]
+        self.block_of, self.block_most = [], []
         for at, x in zip(self.lists, self.impacts, strict=True):
             block, start = np.unique(at // BLOCK, return_index=True)
             self.block_of.append(block)
             self.block_most.append(np.maximum.reduceat(x, start))
-            first.append(first[-1] + len(block))
-        self.block_first = np.array(first)
-        self.flat_block = np.concatenate(self.block_of) if self.terms else np.zeros(0, np.int64)
-        self.flat_most = np.concatenate(self.block_most) if self.terms else np.zeros(0)
+        # a segment's commonest words, up to SPARE of its score, are left out
+        # of the essential lists: a passage that reaches the threshold has the
+        # rest from words whose lists are short
+        self.spare = np.zeros(len(segments))
+        essential: list[list[tuple[int, float]]] = [[] for _ in self.terms]
+        own_terms: list[list[tuple[float, int, float]]] = [[] for _ in segments]
+        for word, t in self.terms.items():
+            for at, x in zip(self.lists[t].tolist(), self.impacts[t].tolist(), strict=True):
+                own_terms[at].append((idf[word], t, x))
+        for at, found in enumerate(own_terms):
+            for _, t, x in sorted(found):
+                if self.spare[at] + x <= SPARE:
+                    self.spare[at] += x
+                else:
+                    essential[t].append((at, x))
+        # essential lists, one after the other
+        self.essential_first = np.append(0, np.cumsum([len(e) for e in essential])).astype(np.int64)
+        self.essential_at = np.array([at for e in essential for at, _ in e], np.int64)
+        self.essential_impact = np.array([x for e in essential for _, x in e])
 
     def above(self, terms: list[int], least: float) -> dict[int, float]:
         """All segments whose impacts over ``terms`` sum to at least
@@ -163,35 +181,36 @@ class Index:
 
     def hopeful(self, span: np.ndarray, term: np.ndarray, joined: np.ndarray, least: float) -> np.ndarray:
         """Which passages (span i and, if ``joined[i]``, span i + 1) can have
-        a segment at ``least`` or more, by sums of bounds. ``span``, ``term``:
-        the distinct pairs, sorted."""
+        a segment at ``least`` or more, by sums of bounds.
+        ``span``, ``term``: the distinct pairs, sorted."""
         def passages(sums):
             return sums + np.where(joined, np.append(sums[1:], 0.0), 0.0)
 
-        count = len(joined)
+        count, segments = len(joined), len(self.item_of)
         open_ = passages(np.bincount(span, self.most[term], count)) >= least - 1e-9
-        if not open_.any():
+        if not open_.any() or least <= SPARE:
             return np.flatnonzero(open_)
-        # bounds of each block of segments, for the spans of open passages
+        # what each segment gets from essential words in the spans of open passages
         needed = open_ | np.append(False, open_[:-1] & joined[:-1])
         keep = needed[span]
         span, term = span[keep], term[keep]
-        size = np.diff(self.block_first)[term]
-        at = np.repeat(self.block_first[term] - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(int(size.sum()))
-        key, where = np.unique(np.repeat(span, size) * self.blocks + self.flat_block[at], return_inverse=True)
-        bound = np.bincount(where, self.flat_most[at], len(key))
-        # a passage's bound in a block: that of its span and of the next
-        own, block = np.divmod(key, self.blocks)
-        after = np.searchsorted(key, key + self.blocks)
-        after_ok = (after < len(key)) & joined[own]
-        after_ok[after_ok] &= key[after[after_ok]] == key[after_ok] + self.blocks
+        size = np.diff(self.essential_first)[term]
+        at = np.repeat(self.essential_first[term] - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(int(size.sum()))
+        key, where = np.unique(np.repeat(span, size) * segments + self.essential_at[at], return_inverse=True)
+        bound = np.bincount(where, self.essential_impact[at], len(key))
+        own, segment = np.divmod(key, segments)
+        asked = least - 1e-9 - self.spare[segment]
+        # a passage's sum for a segment: that of its span and of the next
+        after = np.searchsorted(key, key + segments)
+        both = (after < len(key)) & joined[own]
+        both[both] = key[after[both]] == key[both] + segments
         total = bound.copy()
-        total[after_ok] += bound[after[after_ok]]
+        total[both] += bound[after[both]]
         good = np.zeros(count, bool)
-        good[own[total >= least - 1e-9]] = True
-        # blocks that only the second span has
-        late = (own > 0) & (bound >= least - 1e-9)
-        late[late] &= joined[own[late] - 1]
+        good[own[total >= asked]] = True
+        # segments that only the second span has a word of
+        late = (own > 0) & (bound >= asked)
+        late[late] = joined[own[late] - 1]
         good[own[late] - 1] = True
         return np.flatnonzero(good & open_)
 

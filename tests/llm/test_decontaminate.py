@@ -96,7 +96,7 @@ def test_wand_and_bounds_lose_nothing(seed):
     joined = np.array([rng.random() < 0.7 for _ in spans[:-1]] + [False])
     pairs = sorted((i, t) for i, s in enumerate(spans) for t in s)
     span, term = (np.array(x) for x in zip(*pairs, strict=True))
-    for least in (0.2, 0.4, 0.6, 0.9):
+    for least in (0.35, 0.45, 0.6, 0.9):
         hopeful = set(index.hopeful(span, term, joined, least).tolist())
         for i, s in enumerate(spans):
             terms = sorted({*s, *(spans[i + 1] if joined[i] else [])})
