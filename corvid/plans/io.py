@@ -53,8 +53,10 @@ def src_whole_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
     # one small file per document in its topic's folder (a folder per
     # document would make commit and listing grow with the documents); by the
-    # hash of the unique doc_id, so a hot topic is written by all tasks
-    sinks.write_text(docs.repartition("doc_id").select("source", "text"), path, "errorifexists",
+    # hash of the unique doc_id, so a hot topic is written by all tasks; the
+    # number is given, since so few bytes would be coalesced into one task
+    writers = spark.sparkContext.defaultParallelism * 8
+    sinks.write_text(docs.repartition(writers, "doc_id").select("source", "text"), path, "errorifexists",
                      partition_by=["source"], records_per_file=1)
     files = src.read_whole_files(spark, path, levels=1)
     return files.select(
