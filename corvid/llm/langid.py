@@ -88,7 +88,8 @@ class Scorer:
         words = words_of(text or "")
         model = self.model
         count = len(model.languages)
-        if not words or not count:
+        # a run of letters may be of numerals such as a superscript two
+        if not count or not any(c.isalpha() for w in words for c in w):
             return UNDETERMINED, 0.0
         total, scored = np.zeros(count), 0
         known, times, unseen = [], [], self.unseen

@@ -75,4 +75,50 @@ QUERIES = {
     "op10_winnowing": op10_winnowing,
 }
 
-ORACLES: dict[str, str] = {}
+# The others have no SQL form (tokenizers, XXH64, fitted models).
+ORACLES: dict[str, str] = {
+    "op7_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+later AS (
+  SELECT doc_id, s FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, s + j AS p FROM later, range(0, 20) AS r(j)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d WHERE len(w) > 0),
+kept AS (
+  SELECT words.doc_id, count(gone.p) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL), '') AS kept
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+""",
+    "op8_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+         ((CAST('0x' || substr(p.h, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31)
+         AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f ON p.h = f.h
+""",
+    # these pages mark their articles, whose blocks are headings and paragraphs
+    "op9_page_differencing": r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(b|br)>', ' ', 'g') AS inner_html
+  FROM pages),
+b AS (
+  SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(inner_html, '</?(p|h1)>'), lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'),
+    '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM a)
+SELECT page_id, url, array_to_string(blocks, chr(10)) AS text,
+       CAST(length(array_to_string(blocks, chr(10))) AS BIGINT) AS n_chars
+FROM b
+""",
+}

@@ -69,7 +69,7 @@ def test_scores_equal_plain_counting(spark):
 
 def test_defined_results(spark):
     rows = [*labelled(), (500, None, "aa"), (501, "no label the", None), (None, "the the", "aa")]
-    asked = [(d, t, None) for d, t in AWKWARD] + [(70, "12 34 !!", "aa"), (71, "ж", None)]
+    asked = [(d, t, None) for d, t in AWKWARD] + [(70, "12 34 !!", "aa"), (72, "² ½", None), (71, "ж", None)]
     model = langid.train(frame(spark, rows))
     assert model.languages == ["aa", "bb", "cc"]
     got = langid.predict(frame(spark, asked), model).collect()
