@@ -40,7 +40,7 @@ from corvid.llm.common import block_table, chunks, fold, lower_ascii, text_bytes
 from corvid.llm.hashing import word_hashes
 
 ORDER = 4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 CHUNK_BYTES = 1 << 19
 # The end of a text among the words' hashes.
 END_WORD = 0
@@ -86,7 +86,7 @@ class _Counter:
             found, count = np.unique(part, return_counts=True)
             self.values.append(found)
             self.counts.append(count * weight)
-        if len(self.values) > 64:
+        if len(self.values) > 24:
             merged = self.total()
             self.values, self.counts = [merged[0]], [merged[1]]
 
