@@ -118,14 +118,16 @@ class Scorer:
         return model.languages[best], float(1 / share.sum())
 
 
-def _logs(rows: list, languages: list[str], totals: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
-    units = {u: i for i, u in enumerate(sorted({r.unit for r in rows}))}
+def _logs(rows: pa.Table, languages: list[str], totals: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
+    coded = rows["unit"].combine_chunks().dictionary_encode()
+    order = {u: i for i, u in enumerate(sorted(coded.dictionary.to_pylist()))}
+    place = np.array([order[u] for u in coded.dictionary.to_pylist()], np.int64)
     at = {name: i for i, name in enumerate(languages)}
-    counts = np.zeros((len(units), len(languages)))
-    for r in rows:
-        counts[units[r.unit], at[r.lang]] = r.n
+    counts = np.zeros((len(order), len(languages)))
+    lang = np.array([at[x] for x in rows["lang"].to_pylist()], np.int64)
+    counts[place[coded.indices.to_numpy()], lang] = rows["n"].to_numpy()
     size = np.array([totals.get(name, 0) for name in languages], float)
-    return units, np.log((counts + SMOOTHING) / (size + SMOOTHING * max(1, len(units))))
+    return order, np.log((counts + SMOOTHING) / (size + SMOOTHING * max(1, len(order))))
 
 
 def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int = MAX_WORDS,
@@ -176,7 +178,7 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int =
     tables = {}
     for kind, most in ((_WORD, max_words), (_GRAM, max_grams)):
         kept = top.where(F.col("kind") == kind).orderBy(F.desc("share"), "unit").limit(most).select("kind", "unit")
-        found = counts.join(kept, ["kind", "unit"]).where(F.col("lang").isin(languages)).collect()
+        found = counts.join(kept, ["kind", "unit"]).where(F.col("lang").isin(languages)).select("unit", "lang", "n").toArrow()
         tables[kind] = _logs(found, languages, {lang: totals.get((kind, lang), 0) for lang in languages})
     common = max(range(len(languages)), key=lambda i: totals.get((_WORD, languages[i]), 0))
     return Model(languages, *tables[_WORD], *tables[_GRAM], common)
