@@ -7,9 +7,12 @@ have are deleted as template.
 
 Two rules about the markup stand beside the alignment, since neighbours'
 menus and adverts may differ and their articles may quote each other: lines
-inside elements that by name, role or class are menus, headers, footers,
-sidebars, notices, adverts, forms or reader comments go whether they are
-shared or not, and if a page marks its article, its lines stay and lines
+inside elements that by element name or role are menus, headers, footers,
+asides or forms, and inside containers whose class or id is a whole name of
+adverts or reader comments, go whether they are shared or not (an article or
+main element itself never does); containers outside articles whose whole class
+or id only suggests template (menu, related, top) go if the alignment finds
+half of their text or more on the other page; and if a page marks its article, its lines stay and lines
 outside go. On pages without such a mark the alignment decides alone, unless
 the pair is two copies of one article (most of the text is shared), which
 tells nothing about the template.
@@ -28,6 +31,8 @@ from __future__ import annotations
 import html as references
 import re
 from bisect import bisect_right
+from collections.abc import Iterable
+from itertools import groupby
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -50,45 +55,57 @@ UNREAD = frozenset("script style title textarea iframe noscript noframes templat
 CHROME = frozenset("nav footer aside form menu dialog button fieldset head".split())
 ARTICLE = frozenset("article main".split())
 CLOSERS = frozenset("article main nav header footer aside form section body html".split())
-CHROME_WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner
-cookie cookies consent gdpr notice notices alert popup modal overlay sidebar side rail nav navbar navigation menu
-breadcrumb breadcrumbs footer masthead toolbar comment comments disqus discussion respond reply replies share sharing
-social related recommended newsletter subscribe subscription signup login search pagination pager widget skip""".split())
+# Whole names of adverts and reader comments, which no article is made of.
+CERTAIN_NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsored comments commentlist comment-list
+comments-area disqus disqus_thread""".split())
+# Whole names that may be template: the alignment confirms or keeps these.
+SUSPECT_NAMES = frozenset("""sponsor promo promotion banner cookie cookies consent gdpr notice notices alert popup modal
+overlay sidebar side rail nav navbar navigation menu breadcrumb breadcrumbs footer masthead toolbar comment discussion
+respond reply replies share sharing social related recommended newsletter subscribe subscription signup login search
+pagination pager widget skip header topbar top cookie-notice cookie-banner site-header site-footer main-navigation
+related-posts social-share""".split())
+CONTAINERS = frozenset("div section ul ol dl table center details".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-OUTER_WORDS = frozenset("header topbar top".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""",
     re.S)
-_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _DROP, _ARTICLE, _OPEN = 0, 1, 2
+# Suspected elements in turn, so that neighbouring ones are told apart.
+_SUSPECT = 4
 
 
 def _kind_of(name: str, attributes: str, in_article: bool) -> int | None:
     """What an element makes of its lines; None: nothing."""
     if name in CHROME or name == "header" and not in_article:
         return _DROP
-    found = _ARTICLE if name in ARTICLE else None
+    if name in ARTICLE:
+        return _ARTICLE
+    found = None
     if attributes and "=" in attributes:
         for key, *values in _NAMED.findall(attributes):
-            words = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower())
+            words = "".join(values).lower().split()
             if key.lower() == "role":
                 if CHROME_ROLES.intersection(words):
                     return _DROP
                 if "main" in words or "article" in words:
-                    found = _ARTICLE
-            elif name not in ("body", "html") and (
-                    CHROME_WORDS.intersection(words) or not in_article and OUTER_WORDS.intersection(words)):
-                return _DROP
+                    return _ARTICLE
+            elif name in CONTAINERS:
+                if CERTAIN_NAMES.intersection(words):
+                    found = _DROP
+                elif found is None and not in_article and SUSPECT_NAMES.intersection(words):
+                    found = _SUSPECT
     return found
 
 
 def text_lines(html: str) -> tuple[list[str], bytes]:
     """The page's text blocks in order, and for each whether it stands in a
-    dropped element (0), in a marked article (1) or in neither (2)."""
+    dropped element (0), in a marked article (1), in neither (2) or in an
+    element suspected by its name (4 and 5 in turn)."""
     lines, kinds, parts = [], bytearray(), []
     regions: list[list] = []        # element, how often it is open, kind
-    at, end, kind = 0, len(html), _OPEN
+    at, end, kind, suspects = 0, len(html), _OPEN, 0
 
     def flush():
         if parts:
@@ -144,7 +161,11 @@ def text_lines(html: str) -> tuple[list[str], bytes]:
                 while regions and regions[-1][2] == _DROP and regions[-1][0] in ("nav", "header", "footer", "aside"):
                     regions.pop()
             dropped = any(r[2] == _DROP for r in regions)
-            new = None if dropped else _kind_of(name, token[3] or token[6], any(r[2] == _ARTICLE for r in regions))
+            # a page's main element is never a part of what is dropped around it
+            new = None if dropped and name != "main" else _kind_of(
+                name, token[3] or token[6], any(r[2] == _ARTICLE for r in regions))
+            if new == _SUSPECT:
+                new, suspects = _SUSPECT + suspects % 2, suspects + 1
             if new is not None:
                 flush()
                 regions.append([name, 1, new])
@@ -184,15 +205,29 @@ def main_lines(lines: list[str], kinds: bytes, other: list[str] | None) -> list[
     with the paired page."""
     if _ARTICLE in kinds:
         return [line for line, kind in zip(lines, kinds, strict=True) if kind == _ARTICLE]
-    own = [i for i, kind in enumerate(kinds) if kind == _OPEN]
+    own = [i for i, kind in enumerate(kinds) if kind != _DROP]
     if other:
         shared = set(common_lines(lines, other)).intersection(own)
-        size = sum(len(lines[i]) for i in own)
-        if sum(len(lines[i]) for i in shared) <= COPY_SHARE * size:
-            own = [i for i in own if i not in shared]
+        if _size(lines, shared) <= COPY_SHARE * _size(lines, own):
+            gone = shared | _confirmed(lines, kinds, shared)
+            own = [i for i in own if i not in gone]
     return [lines[i] for i in own]
 
 
+def _size(lines: list[str], rows: Iterable[int]) -> int:
+    return sum(len(lines[i]) for i in rows)
+
+
+def _confirmed(lines: list[str], kinds: bytes, shared: set[int]) -> set[int]:
+    """Lines of the suspected elements whose text is shared for the most part."""
+    found: set[int] = set()
+    for kind, group in groupby(range(len(kinds)), kinds.__getitem__):
+        rows = list(group)
+        if kind >= _SUSPECT and 2 * _size(lines, shared.intersection(rows)) >= _size(lines, rows):
+            found.update(rows)
+    return found
+
+
 def url_key(url: str | None) -> tuple[str, str]:
     """Host and path (with its query) that pages are sorted by."""
     if url is None:

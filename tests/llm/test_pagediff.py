@@ -39,6 +39,30 @@ def test_lines_of_fragments(html, want):
     assert pagediff.main_lines(*pagediff.text_lines(html), None) == want
 
 
+@pytest.mark.parametrize("html", [
+    '<article class="post category-social"><p>text</p></article>', '<main class="has-sidebar"><p>text</p></main>',
+    '<article class="ad menu"><p>text</p></article>', '<main id="top" class="sidebar"><p>text</p></main>',
+    '<div id="content" class="no-sidebar"><p>text</p></div>', '<section id="discussion"><p>text</p></section>',
+    '<h2 id="related-work">text</h2>', '<p class="side-effects">text</p>', '<p class="ad">text</p>',
+    '<article><section id="discussion"><p>text</p></section></article>', '<div data-id="ad">text</div>',
+    '<article><h2 class="related">text</h2></article>', '<article><div class="notice">text</div></article>',
+    '<div class="sidebar layout"><article><p>text</p></article></div>', '<form id="page"><main><p>text</p></main></form>',
+    '<div class="headline topNews">text</div>', '<li class="comment-free">text</li>'])
+def test_names_alone_delete_no_text(html):
+    other = ["a neighbour's line"]
+    for beside in (None, other):
+        assert pagediff.main_lines(*pagediff.text_lines(html), beside) == ["text"]
+
+
+def test_suspected_elements_go_if_the_alignment_confirms_them():
+    page = ("<div class='menu main-menu'><li>Home<li>Sports and games<li>own link</div><section id='discussion'><p>Our long "
+            "text on results</p><p>Home</p></section><p>And some more text here</p><div class='ads'>Buy</div>")
+    lines, kinds = pagediff.text_lines(page)
+    want = ["Our long text on results", "And some more text here"]
+    assert pagediff.main_lines(lines, kinds, ["Home", "Sports and games", "another link", "Home", "other text"]) == want
+    assert pagediff.main_lines(lines, kinds, ["no line of it"]) == [x for x in lines if x != "Buy"]
+
+
 def lcs(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
