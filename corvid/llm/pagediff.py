@@ -5,17 +5,20 @@ its host whose path has the longer common beginning. The text lines of the
 two pages are aligned by a longest common subsequence, and lines that both
 have are deleted as template.
 
-Two rules about the markup stand beside the alignment, since neighbours'
+Rules about the markup stand beside the alignment, since neighbours'
 menus and adverts may differ and their articles may quote each other: lines
 inside elements that by element name or role are menus, headers, footers,
 asides or forms, and inside containers whose class or id is a whole name of
 adverts or reader comments, go whether they are shared or not (an article or
 main element itself never does); containers outside articles whose whole class
 or id only suggests template (menu, related, top) go if the alignment finds
-half of their text or more on the other page; and if a page marks its article, its lines stay and lines
-outside go. On pages without such a mark the alignment decides alone, unless
-the pair is two copies of one article (most of the text is shared), which
-tells nothing about the template.
+half of their text or more on the other page. And if a page marks its article
+(article or main), the mark is a prior: unshared lines outside go if the mark
+holds at least half of what the alignment leaves, and stay otherwise (the mark
+is a teaser or card). Shared lines go inside a mark too, but for headings and
+prose paragraphs of an article element, which are quotes. The alignment runs
+on every page; it tells nothing if the pair is two copies of one article (most
+of the text is shared).
 
 The pages' lines are dealt into ranges of the sorted order and travel once;
 the pages at a range's ends are dealt to the next range too, so every page
@@ -53,7 +56,6 @@ ruby s samp small span strike strong sub sup time tt u var wbr""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNREAD = frozenset("script style title textarea iframe noscript noframes template svg math xmp object select".split())
 CHROME = frozenset("nav footer aside form menu dialog button fieldset head".split())
-ARTICLE = frozenset("article main".split())
 CLOSERS = frozenset("article main nav header footer aside form section body html".split())
 # Whole names of adverts and reader comments, which no article is made of.
 CERTAIN_NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsored comments commentlist comment-list
@@ -64,6 +66,7 @@ overlay sidebar side rail nav navbar navigation menu breadcrumb breadcrumbs foot
 respond reply replies share sharing social related recommended newsletter subscribe subscription signup login search
 pagination pager widget skip header topbar top cookie-notice cookie-banner site-header site-footer main-navigation
 related-posts social-share""".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 CONTAINERS = frozenset("div section ul ol dl table center details".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
@@ -71,7 +74,8 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""",
     re.S)
 _NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_DROP, _ARTICLE, _OPEN = 0, 1, 2
+_DROP, _ARTICLE, _OPEN, _MAIN = 0, 1, 2, 3
+_MARKS = {"article": _ARTICLE, "main": _MAIN}
 # Suspected elements in turn, so that neighbouring ones are told apart.
 _SUSPECT = 4
 
@@ -80,8 +84,8 @@ def _kind_of(name: str, attributes: str, in_article: bool) -> int | None:
     """What an element makes of its lines; None: nothing."""
     if name in CHROME or name == "header" and not in_article:
         return _DROP
-    if name in ARTICLE:
-        return _ARTICLE
+    if name in _MARKS:
+        return _MARKS[name]
     found = None
     if attributes and "=" in attributes:
         for key, *values in _NAMED.findall(attributes):
@@ -89,8 +93,9 @@ def _kind_of(name: str, attributes: str, in_article: bool) -> int | None:
             if key.lower() == "role":
                 if CHROME_ROLES.intersection(words):
                     return _DROP
-                if "main" in words or "article" in words:
-                    return _ARTICLE
+                for mark in ("article", "main"):
+                    if mark in words:
+                        return _MARKS[mark]
             elif name in CONTAINERS:
                 if CERTAIN_NAMES.intersection(words):
                     found = _DROP
@@ -101,11 +106,12 @@ def _kind_of(name: str, attributes: str, in_article: bool) -> int | None:
 
 def text_lines(html: str) -> tuple[list[str], bytes]:
     """The page's text blocks in order, and for each whether it stands in a
-    dropped element (0), in a marked article (1), in neither (2) or in an
-    element suspected by its name (4 and 5 in turn)."""
+    dropped element (0), in a heading or paragraph of a marked article (1), in
+    none (2), elsewhere in a marked article or main part (3) or in an element
+    suspected by its name (4 and 5 in turn)."""
     lines, kinds, parts = [], bytearray(), []
     regions: list[list] = []        # element, how often it is open, kind
-    at, end, kind, suspects = 0, len(html), _OPEN, 0
+    at, end, kind, suspects, prose = 0, len(html), _OPEN, 0, False
 
     def flush():
         if parts:
@@ -113,7 +119,7 @@ def text_lines(html: str) -> tuple[list[str], bytes]:
             parts.clear()
             if line:
                 lines.append(line)
-                kinds.append(kind)
+                kinds.append(_MAIN if kind == _ARTICLE and not prose else kind)
 
     while at < end:
         token = _TOKEN.search(html, at)
@@ -140,6 +146,7 @@ def text_lines(html: str) -> tuple[list[str], bytes]:
             continue
         if name not in INLINE:
             flush()
+            prose = not closing and name in PROSE
         elif name == "br":
             parts.append(" ")
         if closing:
@@ -156,14 +163,14 @@ def text_lines(html: str) -> tuple[list[str], bytes]:
                 if not regions[-1][1]:
                     regions.pop()
         elif name not in VOID:
-            if name in ARTICLE:
+            if name in _MARKS:
                 # an article that begins in an unclosed menu or header ends it
                 while regions and regions[-1][2] == _DROP and regions[-1][0] in ("nav", "header", "footer", "aside"):
                     regions.pop()
             dropped = any(r[2] == _DROP for r in regions)
             # a page's main element is never a part of what is dropped around it
             new = None if dropped and name != "main" else _kind_of(
-                name, token[3] or token[6], any(r[2] == _ARTICLE for r in regions))
+                name, token[3] or token[6], any(r[2] in _MARKS.values() for r in regions))
             if new == _SUSPECT:
                 new, suspects = _SUSPECT + suspects % 2, suspects + 1
             if new is not None:
@@ -203,15 +210,21 @@ def common_lines(a: list[str], b: list[str]) -> list[int]:
 def main_lines(lines: list[str], kinds: bytes, other: list[str] | None) -> list[str]:
     """The page's lines without markup's chrome and the template it shares
     with the paired page."""
-    if _ARTICLE in kinds:
-        return [line for line, kind in zip(lines, kinds, strict=True) if kind == _ARTICLE]
-    own = [i for i, kind in enumerate(kinds) if kind != _DROP]
-    if other:
-        shared = set(common_lines(lines, other)).intersection(own)
-        if _size(lines, shared) <= COPY_SHARE * _size(lines, own):
-            gone = shared | _confirmed(lines, kinds, shared)
-            own = [i for i in own if i not in gone]
-    return [lines[i] for i in own]
+    read = [i for i, kind in enumerate(kinds) if kind != _DROP]
+    shared = set(common_lines(lines, other)).intersection(read) if other else set()
+    marked = [i for i in read if kinds[i] in _MARKS.values()]
+    gone = _template(lines, shared, read)
+    gone |= _confirmed(lines, kinds, gone)
+    if marked and _size(lines, marked) >= _size(lines, set(read) - set(marked) - gone):
+        gone = _template(lines, shared, marked)
+        return [lines[i] for i in marked if i not in gone or kinds[i] == _ARTICLE]
+    return [lines[i] for i in read if i not in gone]
+
+
+def _template(lines: list[str], shared: set[int], rows: list[int]) -> set[int]:
+    """The shared lines of ``rows``; none if the pair is a copy there."""
+    found = shared.intersection(rows)
+    return found if _size(lines, found) <= COPY_SHARE * _size(lines, rows) else set()
 
 
 def _size(lines: list[str], rows: Iterable[int]) -> int:

@@ -63,6 +63,39 @@ def test_suspected_elements_go_if_the_alignment_confirms_them():
     assert pagediff.main_lines(lines, kinds, ["no line of it"]) == [x for x in lines if x != "Buy"]
 
 
+def shop_page(i, wrap):
+    body = "".join(f"<p>own story {i} part {k} of some length {i * k}</p>" for k in range(1, 5))
+    return wrap.format(body=body, i=i)
+
+
+@pytest.mark.parametrize("wrap", [
+    "<div>Site top</div>{body}<div>Kept rights</div>",
+    "<main><p>Share this</p>{body}<p>Kept rights</p></main>",
+    "<div role=main><div>Share this</div>{body}</div><p>outside {i}</p>",
+    "<article><div>Share this</div>{body}<ul><li>Mail</li></ul></article>",
+    "<main><div>Share this</div><article>{body}</article><p>Read on</p></main>",
+    "<p>Site top</p>{body}<div><article><p>Card</p></article></div>",
+])
+def test_alignment_decides_with_the_mark_as_a_prior(spark, wrap):
+    rows = [(i, f"http://s.example/{i}", shop_page(i, wrap)) for i in range(1, 5)]
+    for r in pagediff.extract(pages(spark, rows)).collect():
+        assert r.text.split("\n") == [f"own story {r.page_id} part {k} of some length {r.page_id * k}" for k in range(1, 5)]
+
+
+def test_an_unshared_card_keeps_the_text_outside():
+    html = shop_page(1, "<p>Site top</p>{body}<article><p>Next: card</p></article>")
+    got = pagediff.main_lines(*pagediff.text_lines(html), ["Site top"])
+    assert len(got) == 5 and got[:4] == pagediff.text_lines(shop_page(1, "{body}"))[0]
+
+
+def test_quotes_and_copies_in_articles_stay():
+    html = shop_page(1, "<article>{body}<p>A quoted line.</p></article><div>x</div>")
+    lines, kinds = pagediff.text_lines(html)
+    assert pagediff.main_lines(lines, kinds, ["A quoted line.", "other"]) == lines[:5]
+    lines, kinds = pagediff.text_lines(shop_page(1, "<main>{body}</main>"))
+    assert pagediff.main_lines(lines, kinds, lines) == lines
+
+
 def lcs(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
