@@ -1,14 +1,20 @@
 """Licence scans: a trained paragraph classifier with template comparison.
 
-A paragraph (a line of the text) is described by its words and word pairs.
+A paragraph (lines up to one without a word) is described by its words and
+word pairs: as a whole, line by line, and, where it is longer, in overlapping
+windows of ``WINDOWS`` words, so that a wrapped notice is read as one and a
+notice in a long text isn't outvoted by what surrounds it.
 A sparse multinomial logistic regression over them tells licence families
 apart, and from ``unknown``: ordinary text. It is trained here, on notices
 made from the templates below (words dropped, ordinary text around them) and
 on a bounded sample of the corpus' own lines as the unknown class. A
 temperature fitted on samples kept aside calibrates the probabilities. A
-paragraph is reported if a family has at least ``MIN_PROBABILITY`` and one of
-the family's templates stands in it: at least ``MIN_SIMILARITY`` of the
-template's words in order, within twice its length.
+notice is reported, at the line it begins in, if a family has at least
+``MIN_PROBABILITY`` in one of these stretches and one of the family's templates
+stands there: at least ``MIN_SIMILARITY`` of the template's words in order,
+within twice its length. The words found are scored once more on their own,
+which tells families of like wording apart. Of notices that overlap, the one most alike stays (of
+equals, that of the longer template), and a line gives a family one row.
 
 Features are the words and pairs of the training notices and of the sample's
 most common ones, at most ``MAX_FEATURES``, so the model's size is bounded
@@ -33,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.decontaminate import overlap, words_of
+from corvid.llm.pagediff import common_lines
 
 UNKNOWN = "unknown"
 MIN_PROBABILITY = 0.5
@@ -47,6 +54,9 @@ SEED = 17
 ITERATIONS = 250
 PENALTY = 1e-3
 CHUNK_CHARS = 1 << 20
+# Words of the windows in longer paragraphs, up to the length of the training
+# samples, and how far apart they begin.
+WINDOWS = ((16, 4), (32, 8), (SAMPLE_WORDS, 10))
 
 # The wording of public licence notices.
 TEMPLATES = {
@@ -139,6 +149,22 @@ def best_template(family: str, words: list[str]) -> tuple[float, int]:
     return max((similarity(t, words), -k) for k, t in enumerate(_WORDS[family]))
 
 
+def notice_in(family: str, words: list[str]) -> tuple[float, int, int, int] | None:
+    """Similarity, number, first and last position of the family's template
+    that stands there best, if any does."""
+    held, found = set(words), None
+    for k, template in enumerate(_WORDS[family]):
+        n = len(template)
+        if sum(w in held for w in template) < MIN_SIMILARITY * n:
+            continue
+        for i in range(0, max(1, len(words) - n), max(1, n // 2)):
+            at = common_lines(words[i:i + 2 * n], template)
+            alike = len(at) / n
+            if alike >= MIN_SIMILARITY and (found is None or (alike, n) > (found[0], len(_WORDS[family][found[1]]))):
+                found = alike, k, i + at[0], i + at[-1]
+    return found
+
+
 def features_of(words: list[str]) -> list[str]:
     return words + [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
 
@@ -154,6 +180,28 @@ class Model:
     bias: np.ndarray
     temperature: float
 
+    def __post_init__(self):
+        # weights with a last row for unknown features, and pairs by one number
+        self._padded = np.vstack([self.weights, np.zeros(self.weights.shape[1])])
+        keys = np.array([a * len(self.weights) + b for a, b in self.pairs], np.int64)
+        order = np.argsort(keys)
+        self._pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self._pair_features = np.append(np.array(list(self.pairs.values()), np.int64)[order], -1)
+
+    def of_stretches(self, words: list[str], first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Calibrated class probabilities of ``words[first[i]:end[i]]`` for
+        each i, from running sums over all words."""
+        get = self.words.get
+        codes = np.array([get(w, -1) for w in words], np.int64)
+        keys = np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1] * len(self.weights) + codes[1:], -1)
+        at = np.searchsorted(self._pair_keys, keys)
+        pairs = np.where(self._pair_keys[at] == keys, self._pair_features[at], -1)
+        zero = np.zeros((1, self._padded.shape[1]))
+        single = np.vstack([zero, np.cumsum(self._padded[codes], axis=0)])
+        double = np.vstack([zero, np.cumsum(self._padded[pairs], axis=0)])
+        logits = single[end] - single[first] + double[end - 1] - double[first]
+        return _softmax((logits + self.bias) / self.temperature)
+
     def probabilities(self, lines: list[list[str]]) -> np.ndarray:
         """Calibrated class probabilities of lines given as words."""
         get, pairs = self.words.get, self.pairs
@@ -260,30 +308,68 @@ def train(docs: DataFrame) -> Model:
 
 def scan_texts(model: Model, texts: list[str | None]) -> list[tuple]:
     """(text position, line, family, probability, template, similarity) of
-    every confirmed paragraph."""
-    where, lines = [], []
-    for i, text in enumerate(texts):
-        for k, line in enumerate(_LINE.split(text) if text else ()):
-            words = words_of(line)
-            if words:
-                where.append((i, k))
-                lines.append(words)
-    if not lines:
+    every confirmed notice."""
+    return [(i, *row) for i, text in enumerate(texts) if text for row in _scan_text(model, text)]
+
+
+def _scan_text(model: Model, text: str) -> list[tuple]:
+    words: list[str] = []
+    line_of: list[int] = []         # of each word
+    lines, paragraphs, last = [], [], -2
+    for k, line in enumerate(_LINE.split(text)):
+        found = words_of(line)
+        if found:
+            lines.append((len(words), len(words) + len(found)))
+            if last == k - 1:
+                paragraphs[-1][1] += len(found)
+            else:
+                paragraphs.append([*lines[-1]])
+            last = k
+            words += found
+            line_of += [k] * len(found)
+    if not words:
         return []
-    p, out = model.probabilities(lines), []
+    firsts, ends = [np.array(lines)[:, 0], np.array(paragraphs)[:, 0]], [np.array(lines)[:, 1], np.array(paragraphs)[:, 1]]
+    for first, end in paragraphs:
+        for size, step in WINDOWS:
+            if end - first > size:
+                # the last window ends with the paragraph
+                starts = np.append(np.arange(first, end - size, step), end - size)
+                firsts.append(starts)
+                ends.append(starts + size)
+    stretches = np.unique(np.stack([np.concatenate(firsts), np.concatenate(ends)], axis=1), axis=0)
+    found = _confirmed(model, words, stretches)
+    if found:
+        # the notices' own words tell families of like wording apart
+        found += _confirmed(model, words, np.unique([(f[3], f[4] + 1) for f in found], axis=0))
+    kept: dict[tuple[int, str], tuple] = {}
+    taken: list[tuple[int, int]] = []
+    for alike, _, chance, start, stop, family, template in sorted(found, key=lambda f: (-f[0], -f[1], -f[2], f[3:])):
+        if all(stop < a or b < start for a, b in taken):
+            taken.append((start, stop))
+            kept.setdefault((line_of[start], family), (chance, template, alike))
+    return [(*where, *what) for where, what in sorted(kept.items())]
+
+
+def _confirmed(model: Model, words: list[str], stretches: np.ndarray) -> list[tuple]:
+    """(similarity, template's length, probability, first and last word,
+    family, template) of the stretches that hold a notice."""
+    p, found = model.of_stretches(words, stretches[:, 0], stretches[:, 1]), []
     p[:, 0] = 0
     best = p.argmax(axis=1)
-    for at in np.flatnonzero(p[np.arange(len(p)), best] >= MIN_PROBABILITY):
-        family = model.families[best[at]]
-        alike, template = best_template(family, lines[at])
-        if alike >= MIN_SIMILARITY:
-            out.append((*where[at], family, float(p[at, best[at]]), -template, alike))
-    return out
+    for at in np.flatnonzero(p[np.arange(len(p)), best] >= MIN_PROBABILITY).tolist():
+        family, (first, end) = model.families[best[at]], stretches[at].tolist()
+        notice = notice_in(family, words[first:end])
+        if notice:
+            alike, template, start, stop = notice
+            found.append((alike, len(_WORDS[family][template]), float(p[at, best[at]]), first + start, first + stop,
+                          family, template))
+    return found
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, paragraph, family, probability, template, similarity`` of
-    the licence paragraphs of ``docs`` (``doc_id``, ``text``)."""
+    the licence notices of ``docs`` (``doc_id``, ``text``)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     spec = "doc_id long, paragraph long, family string, probability double, template int, similarity double"
     types = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.float64())

@@ -48,6 +48,74 @@ def test_every_template_is_found_in_its_family(model, family):
             assert 0.5 <= found[0][3] <= 1 and found[0][5] >= 0.8
 
 
+WRAPPED = {
+    "MIT": """Copyright (c) 2019 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+""",
+    "GPL": """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * You should have received a copy of the GNU General Public License
+ * along with this program.  If not, see <https://www.gnu.org/licenses/>.
+ */""",
+    "BSD": """Copyright (c) 2019, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+""",
+}
+STARTS = {"MIT": [2, 9], "GPL": [1, 6], "BSD": [3]}
+
+
+@pytest.mark.parametrize("family", list(WRAPPED))
+def test_wrapped_notices_are_read_as_one(model, family):
+    for ends in ("\n", "\r\n"):
+        found = licences.scan_texts(model, ["", WRAPPED[family].replace("\n", ends)])
+        assert [(f[0], f[1], f[2]) for f in found] == [(1, k, family) for k in STARTS[family]]
+
+
+def test_notices_in_a_long_line_are_found(model, background):
+    rng = random.Random(5)
+    for family, templates in licences.TEMPLATES.items():
+        for template in templates:
+            prose = [w for b in rng.choices(background, k=400) for w in b][:5000]
+            at = rng.randrange(len(prose))
+            prose[at:at] = template.split()
+            found = licences.scan_texts(model, ["first line\n\n" + " ".join(prose)])
+            assert [(f[1], f[2]) for f in found] == [(2, family)], (template, found)
+    assert licences.scan_texts(model, [" ".join(prose[:at])]) == []
+
+
+def test_two_notices_of_a_line_are_both_found(model):
+    found = licences.scan_texts(model, ["Released under the MIT License. " + "Some other words stand here. " * 12
+                                        + "Licensed under the Apache License, Version 2.0."])
+    assert [(f[1], f[2]) for f in found] == [(0, "Apache-2.0"), (0, "MIT")]
+
+
+def test_stretches_score_as_lines_do(model, background):
+    rng, words = random.Random(6), "a line licensed under the mit license or under the gnu gpl version 2 and zzz".split()
+    first = np.array([rng.randrange(10) for _ in range(30)])
+    end = np.array([rng.randint(a + 1, len(words)) for a in first])
+    want = model.probabilities([words[a:b] for a, b in zip(first, end, strict=True)])
+    assert model.of_stretches(words, first, end) == pytest.approx(want)
+
+
 def test_probabilities_equal_plain_sums(model, background):
     line = ["licensed", "under", "the", "mit", "license", "zzz", "the"]
     logits = model.bias.copy()
