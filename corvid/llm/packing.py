@@ -69,7 +69,9 @@ class WordTokenizer(dict):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # texts that hold an added token go through the library as a whole
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.find_added = re.compile("|".join(map(re.escape, added)), re.I).search if added else None
         self.model = self.library.model
         self.find_words = _latin_word_pattern().findall
         self.byte_characters = _byte_characters()
@@ -83,7 +85,10 @@ class WordTokenizer(dict):
         lowered = text.lower()
         try:
             lowered.encode("latin-1")
+            whole = self.find_added is not None and self.find_added(text) is not None
         except UnicodeEncodeError:
+            whole = True
+        if whole:
             return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(self) > CACHE_WORDS:
             self.clear()

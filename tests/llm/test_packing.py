@@ -30,6 +30,18 @@ def test_ids_equal_the_library_on_whole_texts(spark):
         assert got == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_are_read_as_the_library_does_by_default(spark):
+    tok, own = Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
+    texts = ["a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y <|endoftext|><|startoftext|>", "a <|ENDOFTEXT|> b",
+             "<|endoftext |> <| endoftext|>", "é <|endoftext|> Σ", "<|endoftext", "plain", "a\n<|endoftext|>\n b"]
+    for text in texts + [t for _, t in AWKWARD if t]:
+        got = np.frombuffer(own.encode(text), dtype="<u4").tolist()
+        assert got == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    got = packing.pack_documents(frame(spark, list(enumerate(texts))), PATH).collect()
+    assert {r.doc_id: r.length for r in got} == {
+        i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
 def brute_best_fit(lengths, capacity):
     bins = []
     for length in sorted(lengths, reverse=True):
