@@ -21,9 +21,14 @@ The index is broadcast in shards of at most ``SHARD_ITEMS`` items and
 ``SHARD_BYTES`` of text; a larger benchmark takes more shards, each read
 against all training texts. Word statistics are of all items.
 
-Defined results: words are runs of letters and digits, lower-cased. Null and
-empty texts have none. Items of fewer than ``MIN_ITEM_WORDS`` words say too
-little to be found and never match. Items of equal text each give a row; rows
+Items of fewer than ``MIN_ITEM_WORDS`` words say too little for a score; they
+leak where all their words stand side by side (``find_short_leaks``). Their
+distinct word sequences are broadcast in shards of ``SHARD_ITEMS``, and what
+is found is joined with the items.
+
+Defined results: words are runs of letters and digits, lower-cased; runs of
+scripts written without spaces give their character pairs. Null and empty texts
+have none. Items of equal text each give a row; rows
 that repeat a document's id each give their rows. Extra columns are not read.
 """
 
@@ -55,15 +60,32 @@ SHARD_ITEMS = 20_000
 SHARD_BYTES = 16 << 20
 CHUNK_CHARS = 1 << 20
 WORDS = re.compile(r"[^\W_]+")
+# Scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Han.
+_UNSPACED = ("\u0e01-\u0e4e\u0e80-\u0eff\u1000-\u104f\u1780-\u17d3\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff"
+             "\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_MIXED = re.compile(f"([{_UNSPACED}]+)|[^\\W_{_UNSPACED}]+")
 
 
-def words_of(text: str | None) -> list[str]:
+def runs_of(text: str | None) -> list[str]:
+    """Runs of letters and digits, lower-cased."""
     return WORDS.findall(text.lower()) if text else []
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters and digits; of unspaced scripts, their character pairs."""
+    if not text or text.isascii() or not _ANY_UNSPACED.search(text):
+        return runs_of(text)
+    words = []
+    for found in _MIXED.finditer(text.lower()):
+        run = found[0]
+        words += [run[i:i + 2] for i in range(max(1, len(run) - 1))] if found[1] else [run]
+    return words
+
+
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     """Words of all sentences but the last, and of the last."""
-    parts = [w for w in (words_of(s) for s in re.split(r"(?<=[.!?])\s+|\n+", text)) if w]
+    parts = [w for w in (words_of(s) for s in re.split(r"(?<=[.!?])\s+|(?<=[。！？])|\n+", text)) if w]
     if len(parts) > 1:
         return [w for p in parts[:-1] for w in p], parts[-1]
     words = parts[0] if parts else []
@@ -333,10 +355,63 @@ def find_leaks(docs: DataFrame, items: DataFrame, least: float = MIN_SCORE, shar
     return result if result is not None else docs.sparkSession.createDataFrame([], spec)
 
 
+def find_short_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``find_leaks``' columns for items of fewer than ``MIN_ITEM_WORDS``
+    words, where the whole word sequence stands in a text."""
+    def short(batches):
+        for batch in batches:
+            words = [words_of(text) for text in batch.column(1).to_pylist()]
+            keys = [" ".join(w) if 0 < len(w) < MIN_ITEM_WORDS else None for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.string())], names=["item_id", "key"])
+
+    held = written(items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string"))
+                   .mapInArrow(short, "item_id long, key string").where("key is not null"), "short-items")
+    distinct = held.select("key").distinct()
+    shards = -(-distinct.count() // SHARD_ITEMS)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    result = None
+    for shard in range(shards):
+        part = distinct.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == shard).collect()      # a shard, on average
+        by_first: dict[str, dict[str, int]] = {}
+        for r in part:
+            by_first.setdefault(r.key.split(" ")[0], {})[r.key] = r.key.count(" ") + 1
+        shared = docs.sparkSession.sparkContext.broadcast(
+            {w: (frozenset(keys), sorted(set(keys.values()))) for w, keys in by_first.items()})
+
+        def search(batches, shared=shared):
+            sequences = shared.value
+            for batch in batches:
+                out = []
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    words, seen = words_of(text), {}
+                    for i, word in enumerate(words):
+                        if word in sequences:
+                            keys, lengths = sequences[word]
+                            for n in lengths:
+                                key = " ".join(words[i:i + n])
+                                if key in keys:
+                                    seen.setdefault(key, i)
+                    out += [(doc_id, key, first) for key, first in seen.items()]
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(
+                    (pa.int64(), pa.string(), pa.int64()))], names=["doc_id", "key", "first_word"])
+
+        hits = rows.mapInArrow(search, "doc_id long, key string, first_word long").join(held, "key").select(
+            "doc_id", "item_id", F.lit(1.0).alias("score"), F.lit(1.0).alias("question_overlap"),
+            F.lit(1.0).alias("answer_overlap"), "first_word")
+        result = hits if result is None else result.unionByName(hits)
+    spec = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
+    return result if result is not None else docs.sparkSession.createDataFrame([], spec)
+
+
+def find_all_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Leaked items of every length."""
+    return find_leaks(docs, items).unionByName(find_short_leaks(docs, items))
+
+
 def drop_leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a leaked item. Rows without
     an id stay or go by their own text like all others."""
     keyed = docs.withColumn("_leak_key", F.xxhash64("doc_id", "text"))
-    found = find_leaks(keyed.select(F.col("_leak_key").alias("doc_id"), "text"), items)
+    found = find_all_leaks(keyed.select(F.col("_leak_key").alias("doc_id"), "text"), items)
     leaked = written(found.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaked")
     return keyed.join(leaked, "_leak_key", "left_anti").select(*docs.columns)

@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.decontaminate import overlap, words_of
+from corvid.llm.decontaminate import overlap
+from corvid.llm.decontaminate import runs_of as words_of
 from corvid.llm.pagediff import common_lines
 
 UNKNOWN = "unknown"

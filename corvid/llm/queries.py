@@ -29,8 +29,8 @@ def op3_best_fit_packing(spark, sf_dir):
 
 
 def op4_benchmark_decontamination(spark, sf_dir):
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"),
-                                    table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_all_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                        table(spark, sf_dir, "benchmark"))
 
 
 def op5_licence_scan(spark, sf_dir):

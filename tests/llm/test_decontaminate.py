@@ -126,3 +126,16 @@ def test_empty_tables(spark):
     assert dc.find_leaks(frame(spark, []), items_frame(spark, items)).count() == 0
     assert dc.find_leaks(frame(spark, docs), items_frame(spark, [])).count() == 0
     assert dc.drop_leaked(frame(spark, docs), items_frame(spark, [])).count() == len(docs)
+
+
+def test_short_and_unspaced_items_are_found(spark):
+    items = [(1, "Capital of Peru? Lima"), (2, "red fox"), (3, "日本の首都はどこですか。東京です。"), (4, "水の化学式"),
+             (5, "red fox"), (6, None), (7, "?!"), (8, "เมืองหลวงของประเทศไทยคือกรุงเทพมหานคร")]
+    docs = [(1, "He asked: capital of Peru, Lima!"), (2, "a RED-fox ran, the red fox"), (3, "red foxes and a fox, red"),
+            (4, "これは問題です日本の首都はどこですか東京ですという文"), (5, "質問は水の化学式です"), (6, "水と化学の式"),
+            (7, None), (None, "red fox"), (8, "ถามว่าเมืองหลวงของประเทศไทยคือกรุงเทพมหานครใช่ไหม"), (9, "日本の東京は大きい")]
+    got = dc.find_all_leaks(frame(spark, docs), items_frame(spark, items)).collect()
+    assert sorted(((r.doc_id or 0, r.item_id) for r in got)) == [
+        (0, 2), (0, 5), (1, 1), (2, 2), (2, 5), (4, 3), (5, 4), (8, 8)]
+    kept = {r.doc_id for r in dc.drop_leaked(frame(spark, docs), items_frame(spark, items)).collect()}
+    assert kept == {3, 6, 7, 9}
