@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import decontaminate, langid, licences, packing, pagediff, ppm, simhash, substring, warc, winnowing
+from corvid.llm import bpe, decontaminate, langid, licences, packing, pagediff, ppm, simhash, substring, warc, winnowing
 from corvid.session import table
 
 
@@ -62,6 +62,11 @@ def op10_winnowing(spark, sf_dir):
     return winnowing.edited_pairs(docs)
 
 
+def op11_bpe_automaton(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip_digest(docs, _tokenizer_path())
+
+
 QUERIES = {
     "op1_ppm_scoring": op1_ppm_scoring,
     "op2_language_id": op2_language_id,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_page_differencing": op9_page_differencing,
     "op10_winnowing": op10_winnowing,
+    "op11_bpe_automaton": op11_bpe_automaton,
 }
 
 # The others have no SQL form (tokenizers, XXH64, fitted models).
