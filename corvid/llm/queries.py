@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import bpe, decontaminate, langid, licences, packing, pagediff, ppm, simhash, substring, warc, winnowing
+from corvid.llm import bpe, decontaminate, langid, licences, packing, pagediff, ppm, simhash, substring, warc, whitening, winnowing
 from corvid.session import table
 
 
@@ -67,6 +67,10 @@ def op11_bpe_automaton(spark, sf_dir):
     return bpe.round_trip_digest(docs, _tokenizer_path())
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ppm_scoring": op1_ppm_scoring,
     "op2_language_id": op2_language_id,
@@ -79,6 +83,7 @@ QUERIES = {
     "op9_page_differencing": op9_page_differencing,
     "op10_winnowing": op10_winnowing,
     "op11_bpe_automaton": op11_bpe_automaton,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 # The others have no SQL form (tokenizers, XXH64, fitted models).
