@@ -3,7 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from corvid.llm import bpe, decontaminate, langid, licences, packing, pagediff, ppm, simhash, substring, warc, whitening, winnowing
+from corvid.llm import bpe, decontaminate, langid, licences, packing, pagediff, ppm, simhash, substring, turn_trie, warc, whitening, winnowing
 from corvid.session import table
 
 
@@ -71,6 +71,10 @@ def op12_embedding_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark, sf_dir):
+    return turn_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_ppm_scoring": op1_ppm_scoring,
     "op2_language_id": op2_language_id,
@@ -84,6 +88,7 @@ QUERIES = {
     "op10_winnowing": op10_winnowing,
     "op11_bpe_automaton": op11_bpe_automaton,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 # The others have no SQL form (tokenizers, XXH64, fitted models).
@@ -131,5 +136,45 @@ b AS (
 SELECT page_id, url, array_to_string(blocks, chr(10)) AS text,
        CAST(length(array_to_string(blocks, chr(10))) AS BIGINT) AS n_chars
 FROM b
+""",
+    # a prefix is the string of its turns' hashes; crc32 is spelled out bit by bit
+    "op13_conversation_trie": r"""
+WITH t AS (
+  SELECT conv_id, strlen(coalesce(text, '')) AS bytes,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(list_prepend(4294967295, list_transform(
+    range(1, strlen(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i:
+      CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 9 AS head
+  FROM (SELECT DISTINCT conv_id FROM t)),
+front AS (SELECT c.conv_id, t.place, t.bytes, t.h FROM c JOIN t ON t.conv_id = c.base AND t.place <= c.head),
+n AS (SELECT conv_id, count(*) AS n FROM front GROUP BY conv_id),
+r AS (
+  SELECT * FROM front UNION ALL
+  SELECT c.conv_id, t.place - c.head + coalesce(n.n, 0), t.bytes, t.h
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.place > c.head LEFT JOIN n ON n.conv_id = c.conv_id),
+p AS (
+  SELECT conv_id, CAST(place AS BIGINT) AS depth, string_agg(h, '') OVER (PARTITION BY conv_id ORDER BY place) AS k, bytes FROM r
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+node AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM p GROUP BY depth, k),
+kids AS (SELECT depth - 1 AS depth, k[:64 * (depth - 1)] AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1, 2),
+known AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids ON node.depth = kids.depth AND node.k = kids.k),
+up AS (
+  SELECT d AS depth, k[:64 * d] AS k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum((n_convs - 1) * bytes) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM known) GROUP BY 1, 2),
+ends AS (
+  SELECT depth, k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, depth, k FROM p QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY 1, 2)
+SELECT known.conv_id, known.depth, above.conv_id AS parent_conv_id, known.n_convs, known.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM known JOIN up ON known.depth = up.depth AND known.k = up.k
+LEFT JOIN node AS above ON above.depth = known.depth - 1 AND above.k = known.k[:64 * (known.depth - 1)]
+LEFT JOIN ends ON ends.depth = known.depth AND ends.k = known.k
 """,
 }
