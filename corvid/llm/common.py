@@ -3,12 +3,15 @@ handling and Arrow text access."""
 
 from __future__ import annotations
 
+import ctypes
+import pickle
 import uuid
-from typing import Iterator
+from typing import Any, Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +33,38 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores, such that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def shared_value(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast ``value`` and return a function that gives it back in tasks.
+
+    It is broadcast as bytes that hold the code of this package's classes too,
+    so that workers which can't import the package can read it."""
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(shared.value)
+
+
+def release_memory() -> None:
+    """Hand freed memory of this worker back: workers are kept for later
+    stages, and so would be what their pools still hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass                                # no such call outside glibc
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus`` (null id: null)."""
     return F.crc32(doc_id.cast("string")) % modulus

@@ -13,28 +13,24 @@ from corvid.llm.common import mix64
 
 BYTE_BASE = 0x9E3779B97F4A7C15
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-
-def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """base ** i and its inverse modulo 2 ** 64, for i < size at least."""
-    if base not in _POWERS or len(_POWERS[base][0]) < size:
-        steps = np.ones((2, -(-max(size, 1) // (1 << 18)) << 18), np.uint64)
-        steps[0, 1:], steps[1, 1:] = base, pow(base, -1, 1 << 64)
-        _POWERS[base] = tuple(np.multiply.accumulate(steps, axis=1))
-    return _POWERS[base]
+def powers(base: int, size: int) -> np.ndarray:
+    """base ** i modulo 2 ** 64, for i < size; not kept, so that a worker
+    holds none once a block is done."""
+    steps = np.full(max(size, 1), base, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps, out=steps)
 
 
 def prefix_sums(values: np.ndarray, base: int) -> np.ndarray:
     """Sums from which the hash of any slice follows in constant time."""
-    power, _ = powers(base, len(values))
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * power[:len(values)], out=out[1:])
+    np.cumsum(values * powers(base, len(values))[:len(values)], out=out[1:])
     return out
 
 
 def slice_hashes(prefix: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, inverse = powers(base, len(prefix))
+    inverse = powers(pow(base, -1, 1 << 64), len(prefix))
     return mix64((prefix[end] - prefix[start]) * inverse[start])
 
 
