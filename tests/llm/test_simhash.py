@@ -99,6 +99,26 @@ def test_index_search_equals_brute_force():
     assert sorted(zip(q.tolist(), m.tolist(), strict=True)) == sorted(map(tuple, np.argwhere(apart).tolist()))
 
 
+def test_index_of_a_bucket_prunes_and_loses_nothing():
+    rng = np.random.default_rng(1)
+    members = np.unique(rng.integers(0, 2**64, 6000, dtype=np.uint64))
+    near = members[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64))
+    members = np.unique(np.concatenate([members, near]))
+    for mask in simhash.block_masks(len(members)):
+        sought = simhash.key_first(members, mask)
+        assert len(np.unique(sought)) == len(members)
+        top = np.uint64(bin(mask).count("1"))
+        assert ((sought >> (np.uint64(64) - top)) == (simhash.key_first(members & np.uint64(mask), mask) >> (np.uint64(64) - top))).all()
+        index = simhash.GrayIndex(sought)
+        found = set()
+        for at in range(0, len(members), 256):
+            q, m = index.within(sought[at:at + 256], 3)
+            found |= {(i + at, j) for i, j in zip(q.tolist(), m.tolist(), strict=True) if i + at != j}
+        assert index.pruned > index.visited / 2
+        want = {(i, j) for i in range(len(members)) for j in np.flatnonzero(np.bitwise_count(members ^ members[i]) <= 3).tolist() if i != j}
+        assert found == want and len(want) >= 600
+
+
 def test_masks_cover_every_pair_within_reach():
     rng = random.Random(2)
     for count in (10, 10**7, 10**10):
@@ -115,10 +135,24 @@ def test_one_document_of_each_group_stays(spark):
     kept = simhash.drop_near_duplicates(frame(spark, rows))
     assert kept.columns == frame(spark, rows).columns
     groups = simhash.near_duplicate_groups(frame(spark, rows)).collect()
-    want = sorted(str(g.doc_id) for g in groups if g.doc_id is None or g.doc_id == g.component_id)
+    want = sorted(str(c) for c in {g.component_id for g in groups})
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    """Null and repeated ids: a group keeps one row, and no clean row goes
+    because a dropped copy has the same id."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(None, text + " a"), (None, text + " a"), (1, "x y z"), (1, "x y z"), (1, "another text of some words here"),
+            (7, "copied text that stands twice in the table"), (8, "copied text that stands twice in the table"),
+            (8, "a clean text under the id of a copy")]
+    docs = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in rows], "doc_id long, text string, `a.b` int, row_number int, fp int")
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    want = [rows[0], rows[2], rows[4], rows[5], rows[7]]
+    assert sorted(repr((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(repr, want))
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicate_groups(frame(spark, [])).count() == 0
     assert simhash.drop_near_duplicates(frame(spark, [])).count() == 0
