@@ -8,16 +8,19 @@ of the largest sum; its score is that language's share after the sums are
 scaled by the square root of the number of words.
 
 ``train`` fits the tables on a bounded sample of labelled rows
-(``max_documents``, drawn by a hash of the id) and keeps at most
-``max_words`` words and ``max_grams`` n-grams, those with the largest share
-in any language. So the model's size is bounded, whatever the corpus, and
-is broadcast. ``predict`` reads every text whole.
+(``max_documents``, drawn by a hash of the id) and keeps every language of
+the sample, and of its words and n-grams those of the largest share in any
+language, ``max_words`` and ``max_grams`` at most. So the model's size is
+bounded, whatever the corpus, and is broadcast. ``predict`` reads every text
+whole.
 
 Defined results: a text that is null or has no letter is ``und`` with score
 0. A text none of whose letters training has seen gets the language of most
 training words, with score 1 / languages; equal sums go to the alphabetically
 first. If nothing was learned, every text is ``und``. Rows without a label or
-text are not learned from. Extra columns are not read.
+text are not learned from. Extra columns are not read. ``keep_identified``
+keeps every row whose text has a letter, whatever was learned, and puts the
+predicted language into ``lang`` where that is null or the score ``CERTAIN``.
 """
 
 from __future__ import annotations
@@ -32,18 +35,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import fold, written
+from corvid.llm.common import fold, fresh_name, quoted, release_memory, shared_value, written
 
 UNDETERMINED = "und"
 MAX_DOCUMENTS = 20_000
 MAX_WORDS = 100_000
 MAX_GRAMS = 60_000
-MAX_LANGUAGES = 256
 LONGEST = 5
 # Added to every count, in words of the language's training text.
 SMOOTHING = 0.5
 # Unseen words a task remembers; a full table is emptied.
 CACHE_WORDS = 200_000
+# Score from which a predicted language replaces a given one.
+CERTAIN = 0.99
 LETTERS = re.compile(r"[^\W\d_]+")
 _WORD, _GRAM = "w", "g"
 
@@ -52,6 +56,12 @@ def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
+def _has_letter(words: list[str]) -> bool:
+    """Whether the words, runs of letters or numerals, hold a letter: a run may
+    be of numerals such as a superscript two."""
+    return any(c.isalpha() for w in words for c in w)
+
+
 def grams_of(word: str, size: int) -> list[str]:
     marked = f" {word} "
     return [marked[i:i + size] for i in range(len(marked) - size + 1)]
@@ -88,8 +98,7 @@ class Scorer:
         words = words_of(text or "")
         model = self.model
         count = len(model.languages)
-        # a run of letters may be of numerals such as a superscript two
-        if not count or not any(c.isalpha() for w in words for c in w):
+        if not count or not _has_letter(words):
             return UNDETERMINED, 0.0
         total, scored = np.zeros(count), 0
         known, times, unseen = [], [], self.unseen
@@ -169,7 +178,7 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int =
     parts = usable.select("lang", "text").mapInArrow(count, "lang string, kind string, unit string, n long")
     counts = written(parts.groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n")), "language-counts")
     sums = counts.groupBy("kind", "lang").agg(F.sum("n").alias("total"))
-    totals = {(r.kind, r.lang): r.total for r in sums.orderBy(F.desc("total"), "lang", "kind").limit(2 * MAX_LANGUAGES).collect()}
+    totals = {(r.kind, r.lang): r.total for r in sums.collect()}      # languages of at most max_documents rows
     languages = sorted({lang for _, lang in totals})
     if not languages:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)), 0)
@@ -178,7 +187,7 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int =
     tables = {}
     for kind, most in ((_WORD, max_words), (_GRAM, max_grams)):
         kept = top.where(F.col("kind") == kind).orderBy(F.desc("share"), "unit").limit(most).select("kind", "unit")
-        found = counts.join(kept, ["kind", "unit"]).where(F.col("lang").isin(languages)).select("unit", "lang", "n").toArrow()
+        found = counts.join(kept, ["kind", "unit"]).select("unit", "lang", "n").toArrow()
         tables[kind] = _logs(found, languages, {lang: totals.get((kind, lang), 0) for lang in languages})
     common = max(range(len(languages)), key=lambda i: totals.get((_WORD, languages[i]), 0))
     return Model(languages, *tables[_WORD], *tables[_GRAM], common)
@@ -187,15 +196,16 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int =
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (``doc_id``, ``text`` and any others) as ``doc_id, lang_pred,
     score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = shared_value(docs.sparkSession, model)
 
     def each(batches):
-        scorer = Scorer(shared.value)
+        scorer = Scorer(load())
         for batch in batches:
             found = [scorer.predict(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         each, "doc_id long, lang_pred string, score double")
@@ -214,15 +224,34 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows that have no language: ``und``. Every column
-    goes through; the decision needs the row's own text only."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
-
-    def each(batches):
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            keep = [scorer.predict(t.as_py())[0] != UNDETERMINED for t in batch.column(at)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(each, docs.schema)
+    """``docs`` without the rows that have no language (no letter in the
+    text). ``lang`` becomes the predicted language where it is null or the
+    score at least ``CERTAIN``; if nothing was learned, it stays.
+
+    Only text and label go through Python; the other columns stay in the JVM."""
+    load = shared_value(docs.sparkSession, model)
+    held = []
+
+    @F.arrow_udf("string")
+    def language(text: pa.Array, lang: pa.Array) -> pa.Array:
+        if not held:
+            held.append(Scorer(load()))
+        out = []
+        for t, given in zip(text, lang, strict=True):
+            t = t.as_py()
+            found, score = held[0].predict(t)
+            if found == UNDETERMINED and not (t and _has_letter(words_of(t))):
+                out.append(None)
+            elif found == UNDETERMINED or given.is_valid and score < CERTAIN:
+                out.append(given.as_py() or "")
+            else:
+                out.append(found)
+        release_memory()
+        return pa.array(out, pa.string())
+
+    name = fresh_name(docs, "found_language")
+    # evaluated once, not for the filter and the label
+    found = docs.withColumn(name, language.asNondeterministic()(F.col("text").cast("string"), F.col("lang").cast("string")))
+    label = F.nullif(F.col(name), F.lit(""))            # empty: neither given nor learned
+    return found.where(F.col(name).isNotNull()).select(
+        *[label.cast(docs.schema["lang"].dataType).alias(c) if c == "lang" else quoted(c) for c in docs.columns])

@@ -106,3 +106,26 @@ def test_filter_keeps_columns_and_clean_rows(spark):
     kept = langid.keep_identified(docs, langid.train(docs))
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in labelled()]
+
+
+def test_filter_puts_the_prediction_into_lang(spark):
+    learned = labelled()
+    model = langid.train(frame(spark, learned))
+    scorer = langid.Scorer(model)
+    rows = [(1000 + d, t, None) for d, t, _ in learned] + [(2000 + d, t, "zz") for d, t, _ in learned] + [(3000, "!! 12", None)]
+    docs = spark.createDataFrame([(d, t, g, 1, 2) for d, t, g in rows], "doc_id long, text string, lang string, `a.b` int, found_language int")
+    kept = langid.keep_identified(docs, model)
+    assert kept.columns == docs.columns
+    got = {r.doc_id: (r.lang, r["a.b"], r.found_language) for r in kept.collect()}
+    want = {}
+    for d, t, given in rows[:-1]:
+        lang, score = scorer.predict(t)
+        want[d] = (lang if given is None or score >= langid.CERTAIN else given, 1, 2)
+    assert got == want and {w[0] for w in want.values()} >= {"aa", "bb"}
+
+
+def test_filter_without_anything_learned_keeps_texts_with_a_letter(spark):
+    rows = [(d, t, None) for d, t in AWKWARD] + [(70, "a", "xx"), (71, "12 !!", "xx")]
+    kept = langid.keep_identified(frame(spark, rows), langid.train(frame(spark, [])))
+    letters = [(d, g) for d, t, g in rows if t and any(c.isalpha() for c in t)]
+    assert sorted(map(repr, ((r.doc_id, r.lang) for r in kept.collect()))) == sorted(map(repr, letters))
