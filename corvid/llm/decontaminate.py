@@ -22,9 +22,9 @@ The index is broadcast in shards of at most ``SHARD_ITEMS`` items and
 against all training texts. Word statistics are of all items.
 
 Items of fewer than ``MIN_ITEM_WORDS`` words say too little for a score; they
-leak where all their words stand side by side (``find_short_leaks``). Their
-distinct word sequences are broadcast in shards of ``SHARD_ITEMS``, and what
-is found is joined with the items.
+leak where all their words stand side by side. They are looked up in the same
+pass as their shard's index. ``drop_leaked`` asks for question and answer, so
+there an item of a single word drops no document.
 
 Defined results: words are runs of letters and digits, lower-cased; runs of
 scripts written without spaces give their character pairs. Null and empty texts
@@ -40,10 +40,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import written
+from corvid.llm.common import fresh_name, quoted, release_memory, shared_value, written
 from corvid.llm.pagediff import common_lines
 
 SPAN = 64
@@ -236,13 +236,12 @@ class Index:
         good[own[late] - 1] = True
         return np.flatnonzero(good & open_)
 
-    def leaks(self, texts: list[str | None], least: float = MIN_SCORE, share: float = MIN_OVERLAP):
+    def leaks(self, all_words: list[list[str]], least: float = MIN_SCORE, share: float = MIN_OVERLAP) -> list[tuple]:
         """Rows (text position, item, score, question, answer, first word) of
-        the leaked items of a batch of texts."""
+        the leaked items of a batch of texts, given as words."""
         if not self.terms:
             return []
         get, spans, codes, begin, at = self.terms.get, [], [], [], 0
-        all_words = [words_of(t) for t in texts]
         joined: list[np.ndarray] = []
         for words in all_words:
             code = np.array([get(w, -1) for w in words], np.int64)
@@ -285,8 +284,8 @@ def _segments(words: list[str]) -> list[list[str]]:
     return [words[i:i + SPAN] for i in range(0, len(words), SPAN)]
 
 
-def build_indexes(items: DataFrame):
-    """Indexes over ``items`` (``item_id``, ``text``), one shard at a time."""
+def build_searchers(items: DataFrame):
+    """Searchers over ``items`` (``item_id``, ``text``), one shard at a time."""
     rows = written(items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
                    .where("text is not null"), "items")
     count, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
@@ -307,111 +306,134 @@ def build_indexes(items: DataFrame):
     held = written(rows.select("text").mapInArrow(terms, "term string, length long").groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("length").alias("length")), "item-terms")
     whole = held.where("term is null").first()
-    if whole is None:
-        return
     shards = max(-(-count // SHARD_ITEMS), -(-size // SHARD_BYTES))
     for shard in range(shards):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        found, segments = [], []
+        found, segments, short = [], [], []
         for row in part.orderBy("item_id", "text").collect():      # at most a shard, on average
             words = words_of(row.text)
             if len(words) >= MIN_ITEM_WORDS:
                 segments += [(len(found), s) for s in _segments(words)]
                 found.append(Item(row.item_id, *question_and_answer(row.text)))
+            elif words:
+                short.append((row.item_id, words))
         if not segments:
+            if short:
+                yield Searcher(None, short)
             continue
         used = part.select("text").mapInArrow(terms, "term string, length long").select("term").distinct()
         df = {r.term: r.df for r in held.join(used, "term").collect()}      # the shard's words
         idf = {w: float(np.log(1 + (whole.df - n + 0.5) / (n + 0.5))) for w, n in df.items()}
-        yield Index(found, segments, idf, whole.length / whole.df)
+        yield Searcher(Index(found, segments, idf, whole.length / whole.df), short)
+
+
+_SPEC = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
+
+
+class Searcher:
+    """One shard of items: the index of those long enough to score, and the
+    word sequences of the short ones."""
+
+    def __init__(self, index: Index | None, short: list[tuple[int | None, list[str]]]):
+        self.index = index
+        #: first word -> sequence -> ids of the items that are this sequence
+        self.short: dict[str, dict[str, list[int | None]]] = {}
+        for item_id, words in short:
+            self.short.setdefault(words[0], {}).setdefault(" ".join(words), []).append(item_id)
+        self.lengths = {w: sorted({key.count(" ") + 1 for key in keys}) for w, keys in self.short.items()}
+
+    def leaks(self, texts: list[str | None], least: float = MIN_SCORE, share: float = MIN_OVERLAP) -> list[tuple]:
+        """Rows (text position, item, score, question, answer, first word)."""
+        all_words = [words_of(t) for t in texts]
+        found = self.index.leaks(all_words, least, share) if self.index else []
+        return found + self.short_leaks(all_words) if self.short else found
+
+    def short_leaks(self, all_words: list[list[str]], least_words: int = 1) -> list[tuple]:
+        """Short items of at least ``least_words`` words whose whole sequence
+        stands in a text, each with its first place."""
+        out = []
+        for text, words in enumerate(all_words):
+            seen: dict[str, int] = {}
+            for i, word in enumerate(words):
+                if word in self.short:
+                    keys = self.short[word]
+                    for n in self.lengths[word]:
+                        key = " ".join(words[i:i + n])
+                        if n >= least_words and key in keys:
+                            seen.setdefault(key, i)
+            out += [(text, item, 1.0, 1.0, 1.0, first) for key, first in seen.items() for item in self.short[key.split(" ")[0]][key]]
+        return out
+
+    def any_leak(self, texts: list[str | None]) -> list[bool]:
+        """Whether a text holds question and answer of an item; a single word
+        has no answer to its question, so it marks no text."""
+        all_words = [words_of(t) for t in texts]
+        rows = self.index.leaks(all_words) if self.index else []
+        rows += self.short_leaks(all_words, least_words=2) if self.short else []
+        found = {r[0] for r in rows}
+        return [i in found for i in range(len(texts))]
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, least: float = MIN_SCORE, share: float = MIN_OVERLAP) -> DataFrame:
+def _runs(texts: list[str | None]):
+    """Ranges of texts of about ``CHUNK_CHARS`` each."""
+    start = 0
+    while start < len(texts):
+        end, size = start, 0
+        while end < len(texts) and (size < CHUNK_CHARS or end == start):
+            size += len(texts[end] or "")
+            end += 1
+        yield start, end
+        start = end
+
+
+def find_all_leaks(docs: DataFrame, items: DataFrame, least: float = MIN_SCORE, share: float = MIN_OVERLAP) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap,
-    first_word`` of every leaked item in ``docs`` (``doc_id``, ``text``)."""
-    spec = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
+    first_word`` of every leaked item in ``docs`` (``doc_id``, ``text``).
+    Texts are cut into words once for a shard of items, short ones included."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
-    names = [part.split()[0] for part in spec.split(", ")]
+    names = [part.split()[0] for part in _SPEC.split(", ")]
     result = None
-    for index in build_indexes(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for searcher in build_searchers(items):
+        load = shared_value(docs.sparkSession, searcher)
 
-        def search(batches, shared=shared):
+        def search(batches, load=load):
+            searcher = load()
             for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                start, out = 0, []
-                while start < len(texts):
-                    end, size = start, 0
-                    while end < len(texts) and (size < CHUNK_CHARS or end == start):
-                        size += len(texts[end] or "")
-                        end += 1
-                    out += [(ids[start + r[0]], *r[1:]) for r in shared.value.leaks(texts[start:end], least, share)]
-                    start = end
+                ids, texts, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+                for start, end in _runs(texts):
+                    out += [(ids[start + r[0]], *r[1:]) for r in searcher.leaks(texts[start:end], least, share)]
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names=names)
+            release_memory()
 
-        part = rows.mapInArrow(search, spec)
+        part = rows.mapInArrow(search, _SPEC)
         result = part if result is None else result.unionByName(part)
-    return result if result is not None else docs.sparkSession.createDataFrame([], spec)
+    return result if result is not None else docs.sparkSession.createDataFrame([], _SPEC)
 
 
-def find_short_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``find_leaks``' columns for items of fewer than ``MIN_ITEM_WORDS``
-    words, where the whole word sequence stands in a text."""
-    def short(batches):
-        for batch in batches:
-            words = [words_of(text) for text in batch.column(1).to_pylist()]
-            keys = [" ".join(w) if 0 < len(w) < MIN_ITEM_WORDS else None for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.string())], names=["item_id", "key"])
-
-    held = written(items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string"))
-                   .mapInArrow(short, "item_id long, key string").where("key is not null"), "short-items")
-    distinct = held.select("key").distinct()
-    shards = -(-distinct.count() // SHARD_ITEMS)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    result = None
-    for shard in range(shards):
-        part = distinct.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == shard).collect()      # a shard, on average
-        by_first: dict[str, dict[str, int]] = {}
-        for r in part:
-            by_first.setdefault(r.key.split(" ")[0], {})[r.key] = r.key.count(" ") + 1
-        shared = docs.sparkSession.sparkContext.broadcast(
-            {w: (frozenset(keys), sorted(set(keys.values()))) for w, keys in by_first.items()})
-
-        def search(batches, shared=shared):
-            sequences = shared.value
-            for batch in batches:
-                out = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    words, seen = words_of(text), {}
-                    for i, word in enumerate(words):
-                        if word in sequences:
-                            keys, lengths = sequences[word]
-                            for n in lengths:
-                                key = " ".join(words[i:i + n])
-                                if key in keys:
-                                    seen.setdefault(key, i)
-                    out += [(doc_id, key, first) for key, first in seen.items()]
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(
-                    (pa.int64(), pa.string(), pa.int64()))], names=["doc_id", "key", "first_word"])
-
-        hits = rows.mapInArrow(search, "doc_id long, key string, first_word long").join(held, "key").select(
-            "doc_id", "item_id", F.lit(1.0).alias("score"), F.lit(1.0).alias("question_overlap"),
-            F.lit(1.0).alias("answer_overlap"), "first_word")
-        result = hits if result is None else result.unionByName(hits)
-    spec = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
-    return result if result is not None else docs.sparkSession.createDataFrame([], spec)
-
-
-def find_all_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Leaked items of every length."""
-    return find_leaks(docs, items).unionByName(find_short_leaks(docs, items))
+def _leak_test(spark: SparkSession, searcher: Searcher):
+    """A function of a text column: whether the text holds an item."""
+    load, held = shared_value(spark, searcher), []
+
+    @F.arrow_udf("boolean")
+    def leaked(text: pa.Array) -> pa.Array:
+        if not held:
+            held.append(load())
+        texts, out = text.to_pylist(), []
+        for start, end in _runs(texts):
+            out += held[0].any_leak(texts[start:end])
+        release_memory()
+        return pa.array(out, pa.bool_())
+
+    return leaked.asNondeterministic()              # evaluated once
 
 
 def drop_leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a leaked item. Rows without
-    an id stay or go by their own text like all others."""
-    keyed = docs.withColumn("_leak_key", F.xxhash64("doc_id", "text"))
-    found = find_all_leaks(keyed.select(F.col("_leak_key").alias("doc_id"), "text"), items)
-    leaked = written(found.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaked")
-    return keyed.join(leaked, "_leak_key", "left_anti").select(*docs.columns)
+    """``docs`` without the documents that hold question and answer of an
+    item. A row stays or goes by its own text, so there is no join: only texts
+    go through Python, the other columns stay in the JVM."""
+    for searcher in build_searchers(items):
+        name = fresh_name(docs, "holds_item")
+        found = _leak_test(docs.sparkSession, searcher)(F.col("text").cast("string"))
+        docs = docs.withColumn(name, found).where(~quoted(name)).select(*[quoted(c) for c in docs.columns])
+    return docs

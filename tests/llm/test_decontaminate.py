@@ -17,8 +17,21 @@ def items_frame(spark, rows):
     return spark.createDataFrame([(i, t, 1, "s") for i, t in rows], "item_id long, text string, doc_id long, score string")
 
 
-def brute_leaks(docs, items):
-    """Every passage against every segment, without index or bounds."""
+def brute_short_leaks(docs, items, least_words=1):
+    """Every short item against every place of every text."""
+    short = [(i, dc.words_of(t)) for i, t in items if 0 < len(dc.words_of(t)) < dc.MIN_ITEM_WORDS]
+    out = set()
+    for d, text in docs:
+        words = dc.words_of(text)
+        for i, w in short:
+            if len(w) >= least_words and any(words[k:k + len(w)] == w for k in range(len(words))):
+                out.add((d, i))
+    return out
+
+
+def brute_leaks(docs, items, least_words=1):
+    """Every passage against every segment, without index or bounds, and
+    every short item (of ``least_words`` at least)."""
     kept = [(i, t) for i, t in items if t and len(dc.words_of(t)) >= dc.MIN_ITEM_WORDS]
     segments = [(n, s) for n, (_, t) in enumerate(kept) for s in dc._segments(dc.words_of(t))]
     df = Counter(w for _, s in segments for w in set(s))
@@ -28,7 +41,7 @@ def brute_leaks(docs, items):
         norm = dc.K1 * (1 - dc.B + dc.B * len(s) / mean)
         weights.append({w: math.log(1 + (len(segments) - df[w] + 0.5) / (df[w] + 0.5)) * n * (dc.K1 + 1) / (n + norm)
                         for w, n in Counter(s).items()})
-    out = set()
+    out = brute_short_leaks(docs, items, least_words)
     for d, text in docs:
         words = dc.words_of(text)
         for first in range(0, len(words), dc.SPAN):
@@ -75,7 +88,7 @@ def corpus(seed, many=30):
 def test_equals_brute_force(spark, seed, shard, monkeypatch):
     monkeypatch.setattr(dc, "SHARD_ITEMS", shard)
     docs, items = corpus(seed)
-    got = dc.find_leaks(frame(spark, docs), items_frame(spark, items)).collect()
+    got = dc.find_all_leaks(frame(spark, docs), items_frame(spark, items)).collect()
     want = brute_leaks(docs, items)
     assert {(r.doc_id, r.item_id) for r in got} == want and want
     assert all(dc.MIN_OVERLAP <= min(r.question_overlap, r.answer_overlap) and r.score >= dc.MIN_SCORE - 1e-9 for r in got)
@@ -115,7 +128,7 @@ def test_planted_items_of_the_tables_are_found(spark, sf_dir):
     rows, tests = [(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()]
     squeezed = {d: " ".join(dc.words_of(t)) for d, t in rows}
     planted = {(d, i) for d, t in squeezed.items() for i, x in tests if " ".join(dc.words_of(x)) in t}
-    got = {(r.doc_id, r.item_id) for r in dc.find_leaks(docs, items).collect()}
+    got = {(r.doc_id, r.item_id) for r in dc.find_all_leaks(docs, items).collect()}
     assert planted <= got and got == brute_leaks(rows, tests)
     kept = {r.doc_id for r in dc.drop_leaked(docs, items).select("doc_id").collect()}
     assert kept == {d for d, _ in rows} - {d for d, _ in got}
@@ -123,8 +136,8 @@ def test_planted_items_of_the_tables_are_found(spark, sf_dir):
 
 def test_empty_tables(spark):
     docs, items = corpus(1)
-    assert dc.find_leaks(frame(spark, []), items_frame(spark, items)).count() == 0
-    assert dc.find_leaks(frame(spark, docs), items_frame(spark, [])).count() == 0
+    assert dc.find_all_leaks(frame(spark, []), items_frame(spark, items)).count() == 0
+    assert dc.find_all_leaks(frame(spark, docs), items_frame(spark, [])).count() == 0
     assert dc.drop_leaked(frame(spark, docs), items_frame(spark, [])).count() == len(docs)
 
 
@@ -139,3 +152,15 @@ def test_short_and_unspaced_items_are_found(spark):
         (0, 2), (0, 5), (1, 1), (2, 2), (2, 5), (4, 3), (5, 4), (8, 8)]
     kept = {r.doc_id for r in dc.drop_leaked(frame(spark, docs), items_frame(spark, items)).collect()}
     assert kept == {3, 6, 7, 9}
+
+
+def test_dropping_keeps_clean_rows_of_any_id_and_column(spark):
+    """Null and repeated ids go by their own text; names with dots and names
+    that the operator might use come back as they were; one-word items drop nothing."""
+    items = [(1, "Capital of Peru? Lima"), (2, "yes"), (3, "red fox")]
+    rows = [(8, "a copy of a text", 1, 2, 3), (8, "the capital of Peru is Lima", 1, 2, 3), (None, "yes it is", 1, 2, 3),
+            (None, "capital of Peru Lima", 1, 2, 3), (9, None, 1, 2, 3), (8, "a red fox", 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, _leak_key int, holds_item int")
+    kept = dc.drop_leaked(docs, items_frame(spark, items))
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [rows[0], rows[1], rows[2], rows[4]]))
