@@ -20,6 +20,10 @@ Features are the words and pairs of the training notices and of the sample's
 most common ones, at most ``MAX_FEATURES``, so the model's size is bounded
 and it is broadcast; every paragraph of every text is scored.
 
+A text is read in pieces of ``PIECE_WORDS`` words or somewhat more. They end
+with a paragraph; one of more than twice that many words is cut into pieces
+that overlap, and these count as paragraphs.
+
 Defined results: words are runs of letters and digits, lower-cased; null and
 empty texts have no paragraphs. Lines are counted from 0 and empty lines
 count. Rows that repeat an id each give their rows. Extra columns are not
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect
 from collections import Counter
 from dataclasses import dataclass
 
@@ -38,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvid.llm.common import release_memory, shared_value
 from corvid.llm.decontaminate import overlap
 from corvid.llm.decontaminate import runs_of as words_of
 from corvid.llm.pagediff import common_lines
@@ -55,6 +61,10 @@ SEED = 17
 ITERATIONS = 250
 PENALTY = 1e-3
 CHUNK_CHARS = 1 << 20
+# Words of a text that are scored at a time; those that two pieces of one
+# paragraph share.
+PIECE_WORDS = 8192
+OVERLAP_WORDS = 256
 # Words of the windows in longer paragraphs, up to the length of the training
 # samples, and how far apart they begin.
 WINDOWS = ((16, 4), (32, 8), (SAMPLE_WORDS, 10))
@@ -85,6 +95,7 @@ TEMPLATES = {
     ],
     "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
         "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
         "published by the Free Software Foundation",
     ],
@@ -134,6 +145,33 @@ TEMPLATES = {
         "This is free and unencumbered software released into the public domain.",
         "Released under the Unlicense.",
     ],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
+    "Zlib": [
+        "Licensed under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software.",
+    ],
+    "Artistic-2.0": [
+        "Licensed under the Artistic License 2.0.",
+        "you can redistribute it and/or modify it under the terms of the Artistic License (2.0).",
+    ],
+    "OFL-1.1": [
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    ],
+    "EUPL-1.2": [
+        "Licensed under the European Union Public Licence, version 1.2.",
+        "Licensed under the EUPL, Version 1.2 or - as soon they will be approved by the European Commission - "
+        "subsequent versions of the EUPL",
+    ],
+    "SSPL-1.0": [
+        "Licensed under the Server Side Public License, version 1.",
+        "you can redistribute it and/or modify it under the terms of the Server Side Public License, version 1, as "
+        "published by MongoDB, Inc.",
+    ],
 }
 _WORDS = {family: [words_of(t) for t in texts] for family, texts in TEMPLATES.items()}
 _LINE = re.compile(r"\r\n|\r|\n")
@@ -256,15 +294,16 @@ def fit(background: list[list[str]]) -> Model:
     names = sorted(counts, key=lambda f: (-made[f], -counts[f], f))[:MAX_FEATURES]
     index = {f: i for i, f in enumerate(names)}
     families = [UNKNOWN, *TEMPLATES]
-    x = np.zeros((len(samples), len(names)), np.float32)
+    # occurrences of known features, as sample and feature numbers
+    held = [(i, index[f]) for i, (_, words) in enumerate(samples) for f in features_of(words) if f in index]
     y = np.array([families.index(f) for f, _ in samples])
-    for i, (_, words) in enumerate(samples):
-        for f in features_of(words):
-            if f in index:
-                x[i, index[f]] += 1
+    sample, feature = (np.array([h[k] for h in held], np.int64) for k in (0, 1))
     aside = np.array([rng.random() < 0.2 for _ in samples])
-    weights, bias = _train(x[~aside], y[~aside], len(families))
-    logits, truth = x[aside] @ weights + bias, y[aside]
+    number = np.cumsum(~aside) - 1
+    fitted = ~aside[sample]
+    weights, bias = _train(number[sample[fitted]], feature[fitted], y[~aside], len(names), len(families))
+    logits = _row_sums(weights, sample[~fitted], feature[~fitted], len(samples))[aside] + bias
+    truth = y[aside]
     loss = {t: -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()
             for t in np.geomspace(0.25, 4, 33)}
     words = {f: i for f, i in index.items() if " " not in f}
@@ -273,17 +312,32 @@ def fit(background: list[list[str]]) -> Model:
     return Model(families, words, pairs, weights.astype(float), bias.astype(float), float(min(loss, key=loss.get)))
 
 
-def _train(x: np.ndarray, y: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+def _row_sums(values: np.ndarray, row: np.ndarray, entry: np.ndarray, rows: int) -> np.ndarray:
+    """For each row, the sum of the rows of ``values`` that its entries name
+    (``row`` ascending)."""
+    out = np.zeros((rows, values.shape[1]), values.dtype)
+    if len(row):
+        starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        out[row[starts]] = np.add.reduceat(values[entry], starts, axis=0)
+    return out
+
+
+def _train(sample: np.ndarray, feature: np.ndarray, y: np.ndarray, features: int, classes: int) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression with an L2 penalty, by full gradients
-    with adaptive steps."""
+    with adaptive steps. The samples are sparse: ``sample`` and ``feature``
+    number their features' occurrences."""
     target = np.eye(classes, dtype=np.float32)[y]
     # every class weighs the same
     weight = (1 / np.maximum(target.sum(axis=0), 1))[y][:, None] * len(y) / classes
-    parameters = np.zeros((x.shape[1] + 1, classes), np.float32)
+    by_feature = np.argsort(feature, kind="stable")
+    sorted_feature, sorted_sample = feature[by_feature], sample[by_feature]
+    parameters = np.zeros((features + 1, classes), np.float32)
     first, second = np.zeros_like(parameters), np.zeros_like(parameters)
     for step in range(1, ITERATIONS + 1):
-        error = (_softmax(x @ parameters[:-1] + parameters[-1]) - target) * weight / len(y)
-        slope = np.vstack([x.T @ error + PENALTY * parameters[:-1] / 10, error.sum(axis=0, keepdims=True)])
+        logits = _row_sums(parameters, sample, feature, len(y)) + parameters[-1]
+        error = ((_softmax(logits) - target) * weight / len(y)).astype(np.float32)
+        slope = _row_sums(error, sorted_feature, sorted_sample, features)
+        slope = np.vstack([slope + PENALTY * parameters[:-1] / 10, error.sum(axis=0, keepdims=True)])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         parameters -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     return parameters[:-1], parameters[-1]
@@ -313,25 +367,73 @@ def scan_texts(model: Model, texts: list[str | None]) -> list[tuple]:
     return [(i, *row) for i, text in enumerate(texts) if text for row in _scan_text(model, text)]
 
 
-def _scan_text(model: Model, text: str) -> list[tuple]:
+@dataclass
+class _Piece:
+    """Consecutive words of a text with their lines: whole paragraphs, or a
+    part of one that is longer than ``PIECE_WORDS``."""
+
+    words: list[str]
+    line_of: list[int]                  # of each word
+    lines: list[tuple[int, int]]        # word ranges of lines and paragraphs
+    paragraphs: list[tuple[int, int]]
+
+
+_UNIT = re.compile(r"[^\W_]+|\r\n|\r|\n")
+
+
+def _pieces(text: str):
+    """The text's words, ``PIECE_WORDS`` or somewhat more at a time, each
+    piece with the number of its first word. Where a paragraph is cut,
+    ``OVERLAP_WORDS`` stand in both pieces, more than a window has."""
     words: list[str] = []
-    line_of: list[int] = []         # of each word
-    lines, paragraphs, last = [], [], -2
-    for k, line in enumerate(_LINE.split(text)):
-        found = words_of(line)
-        if found:
-            lines.append((len(words), len(words) + len(found)))
-            if last == k - 1:
-                paragraphs[-1][1] += len(found)
-            else:
-                paragraphs.append([*lines[-1]])
-            last = k
-            words += found
-            line_of += [k] * len(found)
-    if not words:
-        return []
-    firsts, ends = [np.array(lines)[:, 0], np.array(paragraphs)[:, 0]], [np.array(lines)[:, 1], np.array(paragraphs)[:, 1]]
-    for first, end in paragraphs:
+    line_of: list[int] = []
+    line = at = 0
+
+    def piece() -> _Piece:
+        edges = [i for i in range(1, len(words)) if line_of[i] != line_of[i - 1]]
+        lines = list(zip([0, *edges], [*edges, len(words)], strict=True))
+        breaks = [i for i in edges if line_of[i] - line_of[i - 1] > 1]
+        return _Piece(words, line_of, lines, list(zip([0, *breaks], [*breaks, len(words)], strict=True)))
+
+    for unit in _UNIT.finditer(text.lower()):
+        found = unit[0]
+        if found[0] in "\r\n":
+            line += 1
+            continue
+        if len(words) >= PIECE_WORDS:
+            if line - line_of[-1] > 1:
+                yield at, piece()
+                at += len(words)
+                words, line_of = [], []
+            elif len(words) >= 2 * PIECE_WORDS:
+                yield at, piece()
+                at += len(words) - OVERLAP_WORDS
+                words, line_of = words[-OVERLAP_WORDS:], line_of[-OVERLAP_WORDS:]
+        words.append(found)
+        line_of.append(line)
+    if words:
+        yield at, piece()
+
+
+def _scan_text(model: Model, text: str) -> list[tuple]:
+    found: list[tuple] = []
+    for at, piece in _pieces(text):
+        found += [(*f[:3], f[3] + at, f[4] + at, *f[5:], piece.line_of[f[3]]) for f in _notices_of(model, piece)]
+    kept: dict[tuple[int, str], tuple] = {}
+    taken: list[tuple[int, int]] = []              # apart from each other, in order
+    for alike, _, chance, start, stop, family, template, line in sorted(found, key=lambda f: (-f[0], -f[1], -f[2], f[3:])):
+        at = bisect(taken, (start, stop))
+        if (not at or taken[at - 1][1] < start) and (at == len(taken) or stop < taken[at][0]):
+            taken.insert(at, (start, stop))
+            kept.setdefault((line, family), (chance, template, alike))
+    return [(*where, *what) for where, what in sorted(kept.items())]
+
+
+def _notices_of(model: Model, piece: _Piece) -> list[tuple]:
+    """Confirmed notices of a piece (see ``_confirmed``)."""
+    ranges = [*piece.lines, *piece.paragraphs]
+    firsts, ends = [np.array([r[0] for r in ranges])], [np.array([r[1] for r in ranges])]
+    for first, end in piece.paragraphs:
         for size, step in WINDOWS:
             if end - first > size:
                 # the last window ends with the paragraph
@@ -339,17 +441,11 @@ def _scan_text(model: Model, text: str) -> list[tuple]:
                 firsts.append(starts)
                 ends.append(starts + size)
     stretches = np.unique(np.stack([np.concatenate(firsts), np.concatenate(ends)], axis=1), axis=0)
-    found = _confirmed(model, words, stretches)
+    found = _confirmed(model, piece.words, stretches)
     if found:
         # the notices' own words tell families of like wording apart
-        found += _confirmed(model, words, np.unique([(f[3], f[4] + 1) for f in found], axis=0))
-    kept: dict[tuple[int, str], tuple] = {}
-    taken: list[tuple[int, int]] = []
-    for alike, _, chance, start, stop, family, template in sorted(found, key=lambda f: (-f[0], -f[1], -f[2], f[3:])):
-        if all(stop < a or b < start for a, b in taken):
-            taken.append((start, stop))
-            kept.setdefault((line_of[start], family), (chance, template, alike))
-    return [(*where, *what) for where, what in sorted(kept.items())]
+        found += _confirmed(model, piece.words, np.unique([(f[3], f[4] + 1) for f in found], axis=0))
+    return found
 
 
 def _confirmed(model: Model, words: list[str], stretches: np.ndarray) -> list[tuple]:
@@ -371,12 +467,13 @@ def _confirmed(model: Model, words: list[str], stretches: np.ndarray) -> list[tu
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, paragraph, family, probability, template, similarity`` of
     the licence notices of ``docs`` (``doc_id``, ``text``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = shared_value(docs.sparkSession, model)
     spec = "doc_id long, paragraph long, family string, probability double, template int, similarity double"
     types = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.float64())
     names = [part.split()[0] for part in spec.split(", ")]
 
     def each(batches):
+        model = load()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             start, out = 0, []
@@ -385,7 +482,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                 while end < len(texts) and (size < CHUNK_CHARS or end == start):
                     size += len(texts[end] or "")
                     end += 1
-                out += [(ids[start + r[0]], *r[1:]) for r in scan_texts(shared.value, texts[start:end])]
+                out += [(ids[start + r[0]], *r[1:]) for r in scan_texts(model, texts[start:end])]
                 start = end
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names=names)
 

@@ -146,3 +146,87 @@ def test_awkward_rows_and_empty_table(spark, model):
     got = {(r.doc_id, r.paragraph, r.family) for r in licences.scan(frame(spark, rows), model).collect()}
     assert got == {(50, 1, "MIT"), (None, 0, "ISC")}
     assert licences.find_licences(frame(spark, [])).count() == 0
+
+
+def brute_scan(model, text):
+    """Every stretch against its best family's templates, for a whole text at
+    once: no pieces, no running sums."""
+    words, line_of = [], []
+    for k, line in enumerate(re.split("\r\n|\r|\n", text)):
+        found = licences.words_of(line)
+        words += found
+        line_of += [k] * len(found)
+    if not words:
+        return []
+    lines, paragraphs = {}, {}
+    paragraph = 0
+    for i, k in enumerate(line_of):
+        if i and k - line_of[i - 1] > 1:
+            paragraph += 1
+        lines.setdefault(k, []).append(i)
+        paragraphs.setdefault(paragraph, []).append(i)
+    stretches = {(r[0], r[-1] + 1) for r in [*lines.values(), *paragraphs.values()]}
+    for r in paragraphs.values():
+        first, end = r[0], r[-1] + 1
+        for size, step in licences.WINDOWS:
+            stretches |= {(at, at + size) for at in [*range(first, end - size, step), end - size] if end - first > size}
+    found = []
+    for round_ in range(2):
+        for first, end in sorted(stretches):
+            p = model.probabilities([words[first:end]])[0]
+            p[0] = 0
+            best = int(p.argmax())
+            if p[best] >= licences.MIN_PROBABILITY:
+                notice = licences.notice_in(model.families[best], words[first:end])
+                if notice:
+                    size = len(licences._WORDS[model.families[best]][notice[1]])
+                    found.append((notice[0], size, float(p[best]), first + notice[2], first + notice[3], model.families[best], notice[1]))
+        stretches = {(f[3], f[4] + 1) for f in found}
+    taken, kept = [], {}
+    for alike, _, chance, start, stop, family, template in sorted(found, key=lambda f: (-f[0], -f[1], -f[2], f[3:])):
+        if all(stop < a or b < start for a, b in taken):
+            taken.append((start, stop))
+            kept.setdefault((line_of[start], family), (chance, template, alike))
+    return [(*k, *v) for k, v in sorted(kept.items())]
+
+
+def same(got, want):
+    assert [g[:2] + g[3:4] for g in got] == [w[:2] + w[3:4] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-6)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scan_equals_brute_force(model, background, seed):
+    rng = random.Random(seed)
+    notices = [n for f in licences.TEMPLATES.values() for n in f]
+    parts = []
+    for _ in range(40):
+        parts.append(" ".join(rng.choice(background)))
+        if rng.random() < 0.4:
+            parts.append(rng.choice(notices))
+        parts.append(rng.choice(["\n", "\n\n", " ", "\r\n"]))
+    text = "".join(parts)
+    want = brute_scan(model, text)
+    assert want
+    same(licences._scan_text(model, text), want)
+
+
+def test_pieces_of_a_text_give_what_the_whole_gives(model, background, monkeypatch):
+    rng = random.Random(5)
+    notice = licences.TEMPLATES[list(licences.TEMPLATES)[0]][0]
+    body = "\n\n".join(" ".join(rng.choice(background)) + "\n" + (notice if k % 5 == 0 else "") for k in range(60))
+    whole = licences._scan_text(model, body)
+    monkeypatch.setattr(licences, "PIECE_WORDS", 300)
+    assert whole and licences._scan_text(model, body) == whole
+
+
+def test_a_very_long_line_is_read_in_bounded_memory(model):
+    import tracemalloc
+
+    notice = licences.TEMPLATES[list(licences.TEMPLATES)[0]][0]
+    text = " ".join(["some words without a licence in this line"] * 250_000 + [notice] + ["and more of it"] * 5000)   # 10 MB
+    tracemalloc.start()
+    found = licences._scan_text(model, text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[1] for f in found] == [list(licences.TEMPLATES)[0]] and peak < 4 * len(text)
