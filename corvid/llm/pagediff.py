@@ -20,33 +20,38 @@ prose paragraphs of an article element, which are quotes. The alignment runs
 on every page; it tells nothing if the pair is two copies of one article (most
 of the text is shared).
 
-The pages' lines are dealt into ranges of the sorted order and travel once;
-the pages at a range's ends are dealt to the next range too, so every page
-meets its neighbours, however many pages a host has.
+Pages are dealt into ranges of the sorted order, as many as their bytes ask
+for, and travel once. A task streams through its range and holds three pages
+at a time; the first and last page of a range meet their neighbours from the
+ranges beside it in a second pass over these two pages of each range. So every
+page meets its neighbours, however many pages a host has, and nothing held in
+one place grows with the input.
 
 Defined results: a null html is empty and gives an empty text. Pages with a
 null url are one host of their own. Equal paths stand in the order of their
-ids. Extra columns are not read; the url comes back unchanged.
+ids, and repeated ids of a path in that of a hash of the html. Extra columns
+are not read; the url comes back unchanged.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
-from bisect import bisect_right
 from collections.abc import Iterable
 from itertools import groupby
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.llm.common import total_bytes
+from corvid.llm.common import release_memory, total_bytes, written
 
-RANGE_BYTES = 8 << 20
-# Bounds of ranges that the driver holds.
-MAX_RANGES = 4096
+# Html of a range of pages, which a task streams through.
+RANGE_BYTES = 64 << 20
+# Text of an output batch.
+BATCH_CHARS = 4 << 20
 # Share of a page's own text that a pair may share before it counts as a copy.
 COPY_SHARE = 0.5
 
@@ -269,75 +274,100 @@ def nearest(before: tuple | None, own: tuple, after: tuple | None) -> int:
 
 
 _NO_ID = (1 << 63) - 1
+_PAGE = "struct<host: string, path: string, lines: string, kinds: binary>"
+_ROW = ("page_id long, url string, text string, n_chars long, part int, is_first boolean, is_last boolean, "
+        f"own {_PAGE}, inner {_PAGE}")
+
+
+def _key_of(url: Column) -> Column:
+    """``host`` and ``path`` of a url column; only urls go through Python."""
+    @F.arrow_udf("struct<host: string, path: string>")
+    def keys(urls: pa.Array) -> pa.Array:
+        found = [url_key(u) for u in urls.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([k[i] for k in found], pa.string()) for i in (0, 1)], ["host", "path"])
+
+    return keys(url)
+
+
+def _lines(page: dict | None) -> list[str]:
+    return page["lines"].split("\n") if page and page["lines"] else []
+
+
+def _main_text(before: dict | None, own: dict, after: dict | None) -> str:
+    """The page's main text, from it and its neighbours in sorted order."""
+    keys = [None if p is None else (p["host"], p["path"]) for p in (before, own, after)]
+    side = nearest(*keys)
+    other = _lines(before if side < 0 else after) if side else None
+    return "\n".join(main_lines(_lines(own), own["kinds"], other))
 
 
 def extract(pages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages`` (``page_id``,
     ``url``, ``html``)."""
+    spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
-    ranges = min(MAX_RANGES, max(1, -(-total_bytes(rows, "html") // range_bytes)))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total_bytes(rows, "html") // range_bytes))
+    key = _key_of(F.col("url"))
+    order = ["key.host", "key.path", F.coalesce("page_id", F.lit(_NO_ID)), F.xxhash64("html")]
+    dealt = rows.withColumn("key", key).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+    def differ(batches):
+        part, before, own, ids, seen = TaskContext.get().partitionId(), None, None, None, 0
+        out: list[tuple] = []
+
+        def done(after):
+            """Settle the page read last, or leave it for the ends' pass."""
+            edge = (seen == 1, after is None)
+            if any(edge):
+                out.append((*ids, None, None, part, *edge, own, before or after))
+            else:
+                text = _main_text(before, own, after)
+                out.append((*ids, text, len(text), None, None, None, None, None))
+
+        def batch_of():
+            names = ["page_id", "url", "text", "n_chars", "part", "is_first", "is_last", "own", "inner"]
+            page = pa.struct([("host", pa.string()), ("path", pa.string()), ("lines", pa.string()), ("kinds", pa.binary())])
+            types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), page, page)
+            found = pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+            out.clear()
+            return found
 
-    def keys(batches):
         for batch in batches:
-            found = [url_key(u) for u in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).fill_null(_NO_ID), pa.array([k[0] for k in found], pa.string()),
-                 pa.array([k[1] for k in found], pa.string())], names=["id", "host", "path"])
-
-    # the bounds of the ranges: the first and last key of each, from the keys alone
-    key = F.struct("host", "path", "id")
-    ordered = (rows.select("page_id", "url").mapInArrow(keys, "id long, host string, path string")
-               .repartitionByRange(ranges, "host", "path", "id"))
-    bounds = ordered.groupBy(F.spark_partition_id().alias("range")).agg(
-        F.min(key).alias("first"), F.max(key).alias("last")).collect()      # at most MAX_RANGES rows
-    firsts = sorted(tuple(b.first) for b in bounds)
-    lasts = sorted(tuple(b.last) for b in bounds)
-    shared = pages.sparkSession.sparkContext.broadcast((firsts, lasts))
-    kinds = [("range", pa.int32()), ("own", pa.bool_()), ("page_id", pa.int64()), ("url", pa.string()),
-             ("lines", pa.string()), ("kinds", pa.binary())]
-
-    def deal(batches):
-        firsts, lasts = shared.value
+            size = 0
+            for page_id, url, html, host, path in zip(*batch.columns, strict=True):
+                lines, kinds = text_lines(html.as_py() or "")
+                page = {"host": host.as_py(), "path": path.as_py(), "lines": "\n".join(lines), "kinds": bytes(kinds)}
+                if own is not None:
+                    done(page)
+                    before = own
+                own, ids, seen = page, (page_id.as_py(), url.as_py()), seen + 1
+                size += len(page["lines"])
+                if size > BATCH_CHARS:
+                    yield batch_of()
+                    size = 0
+            yield batch_of()
+        if own is not None:
+            done(None)
+            yield batch_of()
+        release_memory()
+
+    found = written(dealt.select("page_id", "url", "html", "key.host", "key.path").mapInArrow(differ, _ROW), "pages-differenced")
+    # the first and last page of each range, with their neighbours in other ranges
+    ends = found.where("part is not null")
+    numbered = ends.select("part").distinct().withColumn("range", F.row_number().over(Window.orderBy("part")))
+    ends = written(ends.join(numbered, "part"), "range-ends")
+    last = ends.where("is_last").select((F.col("range") + 1).alias("range"), F.lit(True).alias("is_first"), F.col("own").alias("ahead"))
+    first = ends.where("is_first").select((F.col("range") - 1).alias("range"), F.lit(True).alias("is_last"), F.col("own").alias("next"))
+    met = ends.join(last, ["range", "is_first"], "left").join(first, ["range", "is_last"], "left").select(
+        "page_id", "url", F.when(F.col("is_first"), F.col("ahead")).otherwise(F.col("inner")).alias("before"), "own",
+        F.when(F.col("is_last"), F.col("next")).otherwise(F.col("inner")).alias("after"))
+
+    def settle(batches):
         for batch in batches:
-            out = []
-            for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = (*url_key(url), _NO_ID if page_id is None else page_id)
-                at = max(bisect_right(firsts, own) - 1, 0)
-                lines, marks = text_lines(html or "")
-                row = (page_id, url, "\n".join(lines), marks)
-                out.append((at, True, *row))
-                if own == firsts[at] and at:
-                    out.append((at - 1, False, *row))
-                if own == lasts[at] and at + 1 < len(firsts):
-                    out.append((at + 1, False, *row))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(kinds)],
-                                             names=[n for n, _ in kinds])
-
-    def differ(key, table):
-        ids, urls = table["page_id"].to_pylist(), table["url"].to_pylist()
-        own, marks = table["own"].to_pylist(), table["kinds"].to_pylist()
-        texts = table["lines"]
-        place = [(*url_key(u), _NO_ID if i is None else i) for u, i in zip(urls, ids, strict=True)]
-        order = sorted(range(len(place)), key=place.__getitem__)
-
-        def lines(row):
-            text = texts[row].as_py()
-            return text.split("\n") if text else []
-
-        out = [[], [], [], []]
-        for n, row in enumerate(order):
-            if not own[row]:
-                continue
-            before = order[n - 1] if n else None
-            after = order[n + 1] if n + 1 < len(order) else None
-            side = nearest(None if before is None else place[before], place[row], None if after is None else place[after])
-            other = lines(before if side < 0 else after) if side else None
-            text = "\n".join(main_lines(lines(row), marks[row], other))
-            for column, value in zip(out, (ids[row], urls[row], text, len(text)), strict=True):
-                column.append(value)
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(
-            ("page_id", "url", "text", "n_chars"), out, (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)})
-
-    dealt = rows.mapInArrow(deal, "range int, own boolean, page_id long, url string, lines string, kinds binary")
-    return dealt.groupBy("range").applyInArrow(differ, "page_id long, url string, text string, n_chars long")
+            texts = [_main_text(*(page.as_py() for page in row)) for row in zip(*batch.columns[2:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                                             names=["page_id", "url", "text", "n_chars"])
+
+    spec = "page_id long, url string, text string, n_chars long"
+    return found.where("part is null").select("page_id", "url", "text", "n_chars").unionByName(met.mapInArrow(settle, spec))
