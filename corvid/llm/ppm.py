@@ -179,7 +179,7 @@ def score_documents(docs: DataFrame, held_out, order: int = ORDER, block_bytes:
     word model with one added to every count."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    blocks, _ = block_table(rows, F.col("doc_id"), ["doc_id", "text", "held_out"], "text", "ppm", block_bytes)
+    blocks, _ = block_table(rows, F.struct("doc_id", "text"), ["doc_id", "text", "held_out"], "text", "ppm", block_bytes)
 
     def own_counts(key, table):
         data, offsets = text_bytes(table["text"].combine_chunks())

@@ -37,6 +37,8 @@ WINDOW = 20
 GRAM = 6
 NULL_ID = (1 << 63) - 1
 CHUNK_BYTES = 1 << 20
+# Texts of a reference block.
+BLOCK_BYTES = 8 << 20
 
 # Odd multipliers of the rolling sums.
 _GRAM_BASE = 0xD6E8FEB86659FD93
@@ -249,14 +251,14 @@ def _kept_words(text: str | None, starts: np.ndarray, ends: np.ndarray) -> tuple
     return len(words), [w for w, k in zip(words, keep, strict=True) if k]
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, ``n_removed`` and ``kept``: the
     words that no repeated window covers, joined by single spaces. Columns
     besides ``doc_id`` and ``text`` come back as the struct ``rest``."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")] if rest else []))
-    blocks, _ = block_table(rows, F.col("doc_id"), rows.columns, "text", "substring")
+    blocks, _ = block_table(rows, F.col("doc_id"), rows.columns, "text", "substring", block_bytes)
     spans = repeated_spans(blocks.select("block", "doc_id", "text"), window, gram)
 
     def cut(key, table, spans):
@@ -283,11 +285,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
 
 
-def cut_documents(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def cut_documents(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with repeated windows cut out of ``text`` (and ``n_chars``, if
     there, counted anew). Texts without repeats stay as they are; documents
     of which nothing is left go."""
-    found = remove_repeats(docs, window, gram).where("n_removed = 0 or kept != ''")
+    found = remove_repeats(docs, window, gram, block_bytes).where("n_removed = 0 or kept != ''")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
 
     def column(c: str):

@@ -45,6 +45,10 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_DATE = "2026-01-01T00:00:00Z"
 
 
+# Spark's names of file systems that Arrow names otherwise.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 class WarcError(ValueError):
     """An archive that is not well formed, or whose digests don't hold."""
 
@@ -84,12 +88,17 @@ def gzip_member(data: bytes, level: int = 6) -> bytes:
 
 
 def open_folder(uri: str):
-    """File system and path of a folder URI, as any task can reach it."""
+    """File system and path of a folder URI, as any task can reach it:
+    file, s3 (also as Spark's s3a), gs, abfs or hdfs. Others are refused."""
     from pyarrow.fs import FileSystem
 
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
-    return FileSystem.from_uri(uri)
+    scheme, mark, rest = uri.partition("://")
+    try:
+        return FileSystem.from_uri(_SCHEMES.get(scheme, scheme) + mark + rest)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
+        raise ValueError(f"archives go to file, s3a, gs, abfs or hdfs folders, not to {uri}") from e
 
 
 def members(stream, read_bytes: int = READ_BYTES):
@@ -183,6 +192,7 @@ def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, archive
     """Write all ``pages`` (``page_id``, ``url``, ``html``); returns the
     manifest: ``archive, records, bytes``."""
     folder = scratch_path(pages.sparkSession, "warc")
+    open_folder(folder)                         # fails here, not in the tasks
 
     def write(batches):
         system, path = open_folder(folder)
