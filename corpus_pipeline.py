@@ -8,7 +8,6 @@ the next one's ``docs``. All but the last return the columns of
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corvid.llm import decontaminate, langid, packing, simhash, substring
@@ -16,20 +15,26 @@ from corvid.llm.common import written
 from corvid.session import table
 
 
+# Texts that a task of the substring stage holds: its workers have the other
+# stages behind them, so smaller blocks than the operator's own.
+BLOCK_BYTES = 4 << 20
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go (null texts and texts without a letter)."""
+    """Documents without a language go (null texts and texts without a
+    letter); ``lang`` becomes the predicted one where it is null or that is certain."""
     model = langid.train(docs.where(langid.learned_from()))
     return langid.keep_identified(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one of the smallest id."""
+    """One row of each SimHash group stays: the one of the smallest id."""
     return simhash.drop_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Windows of words that start earlier in the corpus are cut out."""
-    return substring.cut_documents(docs)
+    return substring.cut_documents(docs, block_bytes=BLOCK_BYTES)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +44,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, each with its place in a sequence."""
+    import public_tokenizers
+
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
