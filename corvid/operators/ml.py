@@ -11,30 +11,41 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable, Sequence
 
+import numpy as np
 from py4j.protocol import Py4JJavaError
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import IDF, HashingTF, StringIndexer
+from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, IDFModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark import StorageLevel
 
+from corvid.session import scratch_path
 
 # Partitions of a fit's input: k-means seeding follows partitions and row
-# order, so both are fixed here instead of following the cluster. Large
-# corpora pass more (the model then differs from that of fewer).
-FIT_PARTITIONS = 8
+# order, so both follow the rows instead of the cluster.
+FIT_ROWS = 50_000
+LEAST_FIT_PARTITIONS = 4
+# Labels that one range holds when they are ranked, and seeded starts of a sweep.
+LABEL_ROWS = 500_000
+STARTS = 3
 
 
-def in_fit_order(features: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """The (small) feature rows by hash of ``key`` and sorted in each
-    partition, so that a fit sees the same rows in the same places whatever
-    the number of cores or the file splits."""
-    return features.repartition(partitions, key).sortWithinPartitions(key)
+def fit_partitions(rows: int) -> int:
+    """As many partitions as the rows ask for, the same on every cluster."""
+    return max(LEAST_FIT_PARTITIONS, -(-rows // FIT_ROWS))
+
+
+def in_fit_order(features: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """The feature rows by hash of ``key`` and sorted in each partition, so
+    that a fit sees the same rows in the same places whatever the number of
+    cores or the file splits. ``features`` should be a written table: its rows
+    are counted first."""
+    return features.repartition(partitions or fit_partitions(features.count()), key).sortWithinPartitions(key)
 
 
 def fit_staged(stages: Sequence, df: DataFrame,
@@ -61,14 +72,40 @@ def fit_staged(stages: Sequence, df: DataFrame,
     return PipelineModel(fitted)
 
 
+def label_ranks(df: DataFrame, input_col: str, output_col: str = "label") -> DataFrame:
+    """Every distinct label with its index by descending frequency, ties
+    alphabetical (0.0 = most frequent), as a written table.
+
+    Labels are ranked where they stand: sorted by ranges, numbered inside each
+    range and offset by the ranges before (a row for each range); no label
+    reaches the driver."""
+    spark = df.sparkSession
+
+    def written(table: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        table.write.parquet(path)
+        return spark.read.parquet(path)
+
+    counts = written(df.where(F.col(input_col).isNotNull()).groupBy(input_col).agg(F.count(F.lit(1)).alias("_n")), "label-counts")
+    order = [F.desc("_n"), F.col(input_col)]
+    ranges = max(2, -(-counts.count() // LABEL_ROWS))
+    dealt = written(counts.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select(
+        input_col, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")), "label-ranges")
+    parts = dealt.groupBy("_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    shift = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size") - F.col("_first")
+    shifts = parts.select("_part", shift.alias("_shift"))
+    return written(dealt.join(shifts, "_part").select(input_col, (F.col("_row") + F.col("_shift")).cast("double").alias(output_col)),
+                   "label-ranks")
+
+
 def string_index(df: DataFrame, input_col: str, output_col: str = "label") -> DataFrame:
-    """Index labels by descending frequency, ties alphabetical (0.0 = most
-    frequent). The fitted model holds one entry per distinct label on the
-    driver and in every task: for columns of categories, not of free values.
-    A label that fitting has not seen raises."""
-    indexer = StringIndexer(inputCol=input_col, outputCol=output_col,
-                            stringOrderType="frequencyDesc", handleInvalid="error")
-    return indexer.fit(df).transform(df)
+    """``df`` with the index of each row's label (see ``label_ranks``; a null
+    label has a null index).
+
+    The ranks are joined back as a table: Spark broadcasts it if it is small,
+    and otherwise splits the partitions of hot labels, since both sides are
+    shuffled for the join alone."""
+    return df.join(label_ranks(df, input_col, output_col), input_col, "left").select(*df.columns, output_col)
 
 
 def kmeans(k: int, seed: int = 1, features_col: str = "features",
@@ -109,8 +146,9 @@ def cluster_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:
 
 
 def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features: DataFrame,
-                 ks: Iterable[int], seed: int = 1, parallelism: int = 4) -> DataFrame:
-    """``(k, silhouette, training_cost)`` for each k.
+                 ks: Iterable[int], seed: int = 1, parallelism: int = 8, starts: int = STARTS) -> DataFrame:
+    """``(k, silhouette, training_cost)`` for each k: of ``starts`` seeded
+    fits the cheapest counts, since a single start may end in a poor optimum.
 
     The text features are computed once and persisted (memory, spilling to
     disk; a lost block is recomputed from lineage), and only k-means is
@@ -121,14 +159,19 @@ def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features:
     train_features = train_features.persist(StorageLevel.MEMORY_AND_DISK)
     test_features = test_features.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def fit_one(k: int) -> tuple[int, float | None, float]:
-        model = kmeans(k, seed).fit(train_features)
+    def fit_one(k: int, start: int) -> tuple[float, int, KMeansModel]:
+        model = kmeans(k, seed + start).fit(train_features)
+        return float(model.summary.trainingCost), start, model
+
+    def score_best(k: int, fits: list) -> tuple[int, float | None, float]:
+        cost, _, model = min((f.result() for f in fits), key=lambda f: f[:2])
         score = silhouette(model.transform(test_features))
-        return int(k), None if score is None else float(score), float(model.summary.trainingCost)
+        return int(k), None if score is None else float(score), cost
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(fit_one, list(ks)))
+            fits = {k: [pool.submit(fit_one, k, start) for start in range(starts)] for k in ks}
+            rows = [score_best(k, found) for k, found in fits.items()]
     finally:
         train_features.unpersist()
         test_features.unpersist()
@@ -148,36 +191,51 @@ def area_under_roc(df: DataFrame, score_col: str, label_col: str = "label",
     return evaluator.evaluate(df)
 
 
-def grid_cross_validate(train: DataFrame, tokens_col: str, key: str, num_features_grid: Sequence[int],
-                        min_doc_freq_grid: Sequence[int], folds: int = 2, seed: int = 1,
-                        parallelism: int = 4):
-    """Grid search over ``numFeatures`` × ``minDocFreq`` with k-fold CV
-    (area under ROC) from token rows. Returns the fitted model.
-
-    Folds come from a seeded hash of ``key``, so a recomputed partition falls
-    into the same folds. The tokens are persisted for the fits."""
-    hashing_tf = HashingTF(inputCol=tokens_col, outputCol="rawFeatures")
-    idf = IDF(inputCol="rawFeatures", outputCol="features")
-    grid = (ParamGridBuilder()
-            .addGrid(hashing_tf.numFeatures, list(num_features_grid))
-            .addGrid(idf.minDocFreq, list(min_doc_freq_grid))
-            .build())
-    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=Pipeline(stages=[hashing_tf, idf, logistic()]), evaluator=evaluator,
-                        estimatorParamMaps=grid, numFolds=folds, foldCol="_fold", parallelism=parallelism)
-    fold = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int")
-    rows = in_fit_order(train, key).withColumn("_fold", fold).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cv.fit(rows), hashing_tf, idf
-    finally:
-        rows.unpersist()
-
-
-def grid_results(spark: SparkSession, cv_model, hashing_tf, idf) -> DataFrame:
-    """One row per grid point: ``(num_features, min_doc_freq, avg_auc)``."""
-    rows = []
-    for params, metric in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
-        rows.append((int(params[hashing_tf.numFeatures]), int(params[idf.minDocFreq]),
-                     float(metric)))
-    return spark.createDataFrame(rows, "num_features INT, min_doc_freq INT, avg_auc DOUBLE")
-
+def fold_of(key: str, folds: int, seed: int) -> Column:
+    """A seeded hash of ``key``, so that a recomputed partition falls into the
+    same folds."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int")
+
+
+def masked_idf(model: IDFModel, min_doc_freq: int) -> ElementwiseProduct:
+    """The transformer that an ``IDF`` fitted with ``min_doc_freq`` would be,
+    from one fitted with 0: the same weights, zero for rarer terms."""
+    weights = np.where(np.asarray(model.docFreq) >= min_doc_freq, model.idf.toArray(), 0.0)
+    return ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="rawFeatures", outputCol="features")
+
+
+def grid_search(train: DataFrame, tokens_col: str, key: str, num_features_grid: Sequence[int],
+                min_doc_freq_grid: Sequence[int], folds: int = 2, seed: int = 1,
+                parallelism: int = 8) -> DataFrame:
+    """``num_features, min_doc_freq, avg_auc`` of every grid point, by k-fold
+    cross-validation (area under ROC) of hashed TF, IDF and logistic regression.
+
+    What grid points share is worked out once: tokens are hashed once for each
+    ``numFeatures`` and written, document frequencies are taken once for each
+    of these and fold, and every ``minDocFreq`` is a mask over them. Only the
+    regressions differ; up to ``parallelism`` of them run at once."""
+    spark = train.sparkSession
+    rows = train.select(key, "label", tokens_col, fold_of(key, folds, seed).alias("_fold"))
+    scores: dict[tuple[int, int], list[float]] = {}
+
+    def one(training: DataFrame, validation: DataFrame, idf: IDFModel, least: int) -> float:
+        scale = masked_idf(idf, least)
+        model = logistic().fit(scale.transform(training).select("label", "features"))
+        return area_under_roc(model.transform(scale.transform(validation)), "rawPrediction")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for size in num_features_grid:
+            hashed = HashingTF(inputCol=tokens_col, outputCol="rawFeatures", numFeatures=size).transform(rows)
+            path = scratch_path(spark, "grid-tf")
+            hashed.select(key, "label", "_fold", "rawFeatures").write.parquet(path)
+            staged = in_fit_order(spark.read.parquet(path), key).persist(StorageLevel.MEMORY_AND_DISK)
+            waiting = []
+            for fold in range(folds):
+                training, validation = staged.where(F.col("_fold") != fold), staged.where(F.col("_fold") == fold)
+                idf = IDF(inputCol="rawFeatures", outputCol="features").fit(training)
+                waiting += [(least, pool.submit(one, training, validation, idf, least)) for least in min_doc_freq_grid]
+            for least, score in waiting:
+                scores.setdefault((size, least), []).append(score.result())
+            staged.unpersist()
+    found = [(size, least, float(sum(v) / len(v))) for (size, least), v in scores.items()]
+    return spark.createDataFrame(found, "num_features INT, min_doc_freq INT, avg_auc DOUBLE")
