@@ -102,10 +102,14 @@ def str_hot_words(spark, sf_dir):
 def _events_window(spark, sf_dir, keys=(), value_col=None, slide=None):
     events = table(spark, sf_dir, "events")
     stream = win.table_stream(spark, sf_dir, "events", events.schema)
-    agg = win.windowed_aggregate(stream, "ts", WINDOW, slide, keys, value_col, watermark=WATERMARK)
+    if slide:
+        agg = win.pane_aggregate(stream, "ts", WINDOW, slide, keys, value_col, watermark=WATERMARK)
+    else:
+        agg = win.windowed_aggregate(stream, "ts", WINDOW, None, keys, value_col, watermark=WATERMARK)
     sink, checkpoint = scratch_path(spark, "win-out"), scratch_path(spark, "win-ck")
-    ts.await_query(win.start_update(agg, sink, checkpoint))
-    return win.latest_windows(spark, sink, keys, value_col)
+    ts.await_query(win.start_update(agg, sink, checkpoint, keys, value_col))
+    latest = win.latest_windows(spark, sink, keys, value_col)
+    return win.windows_of_panes(latest, WINDOW, slide, keys, value_col) if slide else latest
 
 
 SQL_BUCKET = "time_bucket(INTERVAL '1 hour', ts)"

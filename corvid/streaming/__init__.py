@@ -9,27 +9,33 @@ from corvid.streaming.folder_stream import (
     text_stream,
 )
 from corvid.streaming.windows import (
+    compact,
     flatten_window,
-    start_append,
     latest_windows,
+    pane_aggregate,
+    start_append,
     start_update,
     table_stream,
     windowed_aggregate,
+    windows_of_panes,
 )
 
 __all__ = [
     "await_query",
     "batch_counts",
+    "compact",
     "flatten_window",
     "hot_words",
+    "latest_windows",
+    "pane_aggregate",
     "period_totals",
     "period_word_counts",
     "stage_lines_by_period",
     "start_append",
     "start_batch_word_counts",
-    "latest_windows",
     "start_update",
     "table_stream",
     "text_stream",
     "windowed_aggregate",
+    "windows_of_panes",
 ]

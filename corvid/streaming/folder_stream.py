@@ -10,6 +10,8 @@ Batch results are then merged per period on read.
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -48,17 +50,22 @@ def await_query(query: StreamingQuery, limit_s: float | None = None) -> None:
 
 
 def start_batch_word_counts(lines: DataFrame, sink: str, checkpoint: str,
-                            trigger_seconds: float | None = None,
-                            drop_empty: bool = False) -> StreamingQuery:
+                            trigger_seconds: float | None = None, drop_empty: bool = False,
+                            after_write: Callable[[int], None] | None = None) -> StreamingQuery:
     """Stateless per-batch word counts (tokens split on one space, empty
     tokens kept), written per batch id.
 
     ``trigger_seconds`` runs continuously on a processing-time trigger (the
     reference used 1 s batches); ``None`` processes what is there and stops.
+    ``after_write`` is called with the batch id between the write and the
+    commit of a batch (for progress reports and fault tests): if it fails, the
+    batch is replayed after a restart and overwrites its own folder.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         counts = word_counts(batch, "value", ["period"], by_lines=False, drop_empty=drop_empty)
         counts.write.mode("overwrite").parquet(f"{sink}/counts/batch_id={batch_id}")
+        if after_write:
+            after_write(batch_id)
 
     writer = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if trigger_seconds:
