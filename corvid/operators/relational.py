@@ -156,10 +156,16 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order: Sequence[Co
             .filter(F.col(rank_alias) <= k))
 
 
-def _hash_unit(key_cols: Iterable[str], seed: int) -> Column:
-    """A repeatable pseudo-random number in [0, 1) from the row's key."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    return F.pmod(h, F.lit(1 << 30)) / float(1 << 30)
+def hash_text(key_cols: Iterable[str], seed: int) -> Column:
+    """A repeatable pseudo-random hex text from the row's key, the same in
+    every engine that has MD5: of ``seed:key:key...``."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
+
+
+def hash_below(fraction: float) -> str:
+    """The hex text that a ``fraction`` of all hash texts is below."""
+    share = round(fraction * 16 ** 8)
+    return f"{max(share, 0):08x}" if share < 16 ** 8 else "g"
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) -> DataFrame:
@@ -170,13 +176,14 @@ def sample_n(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) -> DataF
     ``n`` that fits in a task's memory; a share of a large table is
     ``sample_fraction``.
     """
-    return (df.withColumn("_u", _hash_unit(key_cols, seed))
+    return (df.withColumn("_u", hash_text(key_cols, seed))
             .orderBy("_u", *key_cols).limit(n).drop("_u"))
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Bernoulli sample without replacement (per-partition, seeded)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_fraction(df: DataFrame, fraction: float, seed: int, key_cols: Sequence[str]) -> DataFrame:
+    """Bernoulli sample without replacement: a row is drawn by a seeded hash
+    of its key, so the draw doesn't depend on partitions or row order."""
+    return df.filter(hash_text(key_cols, seed) < F.lit(hash_below(fraction)))
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0.8,
@@ -186,8 +193,8 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0
     Unlike ``randomSplit`` the split does not depend on partitioning or row
     order, so reruns and retried tasks give the same sets.
     """
-    u = _hash_unit(key_cols, seed)
-    return df.withColumn(alias, F.when(u < train_fraction, F.lit("train")).otherwise(F.lit("test")))
+    train = hash_text(key_cols, seed) < F.lit(hash_below(train_fraction))
+    return df.withColumn(alias, F.when(train, F.lit("train")).otherwise(F.lit("test")))
 
 
 def train_test(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0.8,

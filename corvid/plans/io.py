@@ -343,12 +343,19 @@ def snk_text_gzip(spark, sf_dir):
     return src.read_text_lines(spark, _stage_text(spark, sf_dir, "text-gzip", "gzip"))
 
 
-@register("cat_drop_table")
+@register("cat_drop_table", """
+SELECT 'created' AS state, true AS table_exists, count(*) AS n_rows FROM region
+UNION ALL SELECT 'dropped', false, NULL
+""")
 def cat_drop_table(spark, sf_dir):
-    """Create a table, drop it if present; the catalog listing comes back empty."""
+    """Create a table, then drop it if present: whether the catalog has it,
+    and its rows, after either step."""
     name = _table_name("drop")
     (table(spark, sf_dir, "region").write.format("parquet")
      .option("path", scratch_path(spark, name)).saveAsTable(name))
+    states = [("created", spark.catalog.tableExists(name), spark.table(name).count())]
     sinks.drop_table(spark, name)
-    return spark.sql(f"SHOW TABLES LIKE '{name}'")
+    sinks.drop_table(spark, name)                   # dropping what is gone is no error
+    states.append(("dropped", spark.catalog.tableExists(name), None))
+    return spark.createDataFrame(states, "state STRING, table_exists BOOLEAN, n_rows BIGINT")
 

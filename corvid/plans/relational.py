@@ -259,18 +259,25 @@ def srt_first_n(spark, sf_dir):
     return rel.first_n(item_avg_above(spark, sf_dir), FIRST_N, [F.col("p_partkey")])
 
 
-@register("smp_n_rows")
+SQL_LINE_HASH = f"md5(concat_ws(':', '{SAMPLE_SEED}', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
+
+
+@register("smp_n_rows", f"SELECT * FROM lineitem ORDER BY {SQL_LINE_HASH}, l_orderkey, l_linenumber LIMIT {SAMPLE_N}")
 def smp_n_rows(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     return rel.sample_n(lines, SAMPLE_N, SAMPLE_SEED, ["l_orderkey", "l_linenumber"])
 
 
-@register("smp_fraction")
+@register("smp_fraction", f"SELECT * FROM lineitem WHERE {SQL_LINE_HASH} < '{rel.hash_below(SAMPLE_FRACTION)}'")
 def smp_fraction(spark, sf_dir):
-    return rel.sample_fraction(table(spark, sf_dir, "lineitem"), SAMPLE_FRACTION, SAMPLE_SEED)
+    return rel.sample_fraction(table(spark, sf_dir, "lineitem"), SAMPLE_FRACTION, SAMPLE_SEED, ["l_orderkey", "l_linenumber"])
 
 
-@register("smp_train_test_split")
+@register("smp_train_test_split", f"""
+SELECT doc_id, source, CASE WHEN md5(concat_ws(':', '{SPLIT_SEED}', CAST(doc_id AS VARCHAR))) < '{rel.hash_below(0.8)}'
+                            THEN 'train' ELSE 'test' END AS split
+FROM documents
+""")
 def smp_train_test_split(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return rel.hash_split(docs, ["doc_id"], 0.8, SPLIT_SEED)

@@ -181,7 +181,8 @@ def test_corrupt_recursive_glob_modified(spark, workdir):
 def test_drop_table(spark, sf_dir):
     import __spark_entry__ as entry
 
-    assert entry.queries()["cat_drop_table"](spark, sf_dir).count() == 0
+    rows = [tuple(r) for r in entry.queries()["cat_drop_table"](spark, sf_dir).collect()]
+    assert rows == [("created", True, 5), ("dropped", False, None)]
 
 
 def test_processing_time_trigger_keeps_running(spark, workdir):

@@ -74,7 +74,8 @@ def test_k_sweep(spark, sf_dir):
     assert [r["k"] for r in rows] == list(range(2, 10))
     for r in rows:
         assert r["silhouette"] is None or -1.0 <= r["silhouette"] <= 1.0
-        assert r["training_cost"] >= 0
+    costs = [r["training_cost"] for r in rows]
+    assert costs[-1] >= 0 and all(a >= b for a, b in zip(costs, costs[1:], strict=False))
 
 
 def test_idf_vectors(spark, sf_dir):
@@ -212,7 +213,7 @@ def test_updated_windows_keep_their_last_values(spark, workdir):
     for _ in range(2):
         for batch in (1, 2):
             (rows.filter(F.col("batch_id") == batch).drop("batch_id").write.mode("overwrite")
-             .parquet(f"{workdir}/out/batch_id={batch}"))
+             .parquet(f"{workdir}/out/updates/batch_id={batch}"))
     assert [r["n"] for r in win.latest_windows(spark, f"{workdir}/out").collect()] == [7]
 
 
