@@ -31,8 +31,12 @@ def split_lines(c: Column | str) -> Column:
 
 def split_tokens_of_lines(c: Column | str, sep: str = " ") -> Column:
     """The tokens of all lines at once: cut at line ends and at a literal
-    separator, every token kept, empty ones included."""
-    return F.split(_col(c), f"{LINE_BREAK}|{re.escape(sep)}", -1)
+    separator, every token kept, empty ones included.
+
+    A single character joins the line ends' class, which matches faster than
+    one more alternative."""
+    pattern = rf"\r\n|[\r\n{re.escape(sep)}]" if len(sep) == 1 else f"{LINE_BREAK}|{re.escape(sep)}"
+    return F.split(_col(c), pattern, -1)
 
 
 def split_multivalue(c: Column | str, sep: str = "|") -> Column:
