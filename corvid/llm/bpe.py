@@ -12,11 +12,11 @@ from them whether a state has an arc and keeps what it found in a bounded
 transition table. A merge whose v arc is already gone can never apply and
 adds nothing.
 
-Every prefix of a word has one accepted path, so a word is encoded from left
-to right: the token that ends at a position is the only one whose arc leaves
-the state at its start. Decoding emits the arcs' labels.
+A word has one accepted path, and so has every prefix of it: a word is
+encoded from left to right along arcs that the table has, the longest token
+first, and no position is come to twice. Decoding emits the arcs' labels.
 
-Texts are split into words as the vocabulary's file says (by its normalizer
+Texts are cut into words as the vocabulary's file says (by its normalizer
 and pre-tokenizer; texts in Latin-1 by the same pattern in Python), and each
 distinct word is encoded once per worker while the bounded cache holds it.
 The compiled gadgets are broadcast; their size is that of the vocabulary.
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvid.llm.common import release_memory
 from corvid.llm.packing import _byte_characters, _latin_word_pattern
 
 # Words and transitions a worker remembers; a full table is emptied.
@@ -116,6 +118,26 @@ def load_vocabulary(path: str) -> dict:
             "added": {t["content"]: t["id"] for t in spec["added_tokens"]}, "file": text}
 
 
+def prefix_table(ids: dict[str, int], end: str) -> dict[str, int]:
+    """Every prefix of a token without the word-end mark, with the token's id
+    or -1 where the prefix is none."""
+    plain = [t for t in ids if not end or not t.endswith(end)]
+    table = {t[:n]: -1 for t in plain for n in range(1, len(t))}
+    table.update((t, ids[t]) for t in plain)
+    return table
+
+
+class _Words(dict):
+    """Ids of words already encoded; an unseen word is encoded when asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = array("i", self.encode(word)).tobytes()
+        return found
+
+
 class Automaton:
     """Encodes words and texts by a loaded vocabulary."""
 
@@ -125,14 +147,16 @@ class Automaton:
         self.gadgets = vocabulary["gadgets"]
         self.end = vocabulary["end"]
         self.ids = {t: i for i, t in enumerate(vocabulary["tokens"]) if t and self.gadgets["alive"][i]}
-        self.longest = max(map(len, self.ids), default=1)
+        self.table = prefix_table(self.ids, self.end)
         self.added = vocabulary["added"]
         self.library = Tokenizer.from_str(vocabulary["file"])       # for splitting only
         self.find_added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         self.find_words = _latin_word_pattern().findall
         self.byte_characters = _byte_characters()
         self.steps: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
+        # by the word as it stands in a Latin-1 text, and by its byte characters
+        self.latin = _Words(lambda word: self.encode_symbols(word.encode().decode("latin-1").translate(self.byte_characters)))
+        self.symbols = _Words(self.encode_symbols)
 
     def step(self, state: int, token: int) -> bool:
         """The transition table: whether ``state`` (-1 at the start of a
@@ -148,46 +172,54 @@ class Automaton:
         return found
 
     def encode_symbols(self, symbols: str) -> list[int]:
-        """Ids of one pre-split word, given as byte characters."""
-        ids, end, size = self.ids, self.end, len(symbols)
-        whole = ids.get(symbols + end)
-        if whole is not None:
-            return [whole]
-        token, start = [-1] * (size + 1), [0] * (size + 1)
-        for stop in range(1, size + 1):
-            mark = end if stop == size else ""
-            for at in range(max(0, stop - self.longest), stop):
-                found = ids.get(symbols[at:stop] + mark)
-                if found is not None and self.step(token[at], found):
-                    token[stop], start[stop] = found, at
+        """Ids of one pre-split word, given as byte characters.
+
+        Longer tokens are tried first. A position that leads nowhere is left
+        for good: there is one accepted path to it only."""
+        ids, end, table, size = self.ids, self.end, self.table, len(symbols)
+        out: list[int] = []
+        ways: list[tuple[int, list[tuple[int, int]]]] = []          # state and untried arcs of each token's start
+        state, at = -1, 0
+        while True:
+            found = ids.get(symbols[at:] + end)
+            if found is not None and self.step(state, found):
+                out.append(found)
+                return out
+            arcs = []
+            for stop in range(at + 1, size):
+                token = table.get(symbols[at:stop])
+                if token is None:
                     break
-            else:
-                raise ValueError("a byte of the text is no base symbol of the vocabulary")
-        out, stop = [], size
-        while stop:
-            out.append(token[stop])
-            stop = start[stop]
-        return out[::-1]
-
-    def _symbols(self, symbols: str) -> bytes:
-        found = self.words.get(symbols)
-        if found is None:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            found = self.words[symbols] = np.array(self.encode_symbols(symbols), "<i4").tobytes()
-        return found
-
-    def _latin(self, word: str) -> bytes:
-        return self._symbols(word.encode().decode("latin-1").translate(self.byte_characters))
+                if token >= 0:
+                    arcs.append((stop, token))
+            ways.append((state, arcs))
+            while True:
+                state, arcs = ways[-1]
+                while arcs:
+                    at, token = arcs.pop()
+                    if self.step(state, token):
+                        break
+                else:
+                    ways.pop()
+                    if not ways:
+                        raise ValueError("a byte of the text is no base symbol of the vocabulary")
+                    out.pop()
+                    continue
+                out.append(token)
+                state = token
+                break
 
     def _plain(self, text: str) -> bytes:
+        for words in (self.latin, self.symbols):
+            if len(words) > CACHE_WORDS:
+                words.clear()
         lowered = text.lower()
         try:
             lowered.encode("latin-1")
         except UnicodeEncodeError:
             normal = self.library.normalizer.normalize_str(text)
-            return b"".join(self._symbols(w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal))
-        return b"".join(map(self._latin, self.find_words(lowered)))
+            return b"".join([self.symbols[w] for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)])
+        return b"".join(map(self.latin.__getitem__, self.find_words(lowered)))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, as little-endian 32-bit integers."""
@@ -233,6 +265,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], names=["doc_id", "token_ids"])
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         each, "doc_id long, token_ids array<int>")
@@ -263,6 +296,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
                     words = words.drop_null()
                 joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(spans, pa.int32()), words), pa.scalar(" ", words.type))
                 yield pa.RecordBatch.from_arrays([*rows.columns, joined.cast(pa.string())], names=[*batch.schema.names, "decoded"])
+        release_memory()
 
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(each, f"{fields}, decoded string")

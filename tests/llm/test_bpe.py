@@ -41,7 +41,7 @@ def test_small_random_merge_lists_meet_plain_encoding():
         made = bpe.Automaton.__new__(bpe.Automaton)
         made.gadgets, made.end, made.steps = gadgets, "", {}
         made.ids = {t: i for i, t in enumerate(tokens) if gadgets["alive"][i]}
-        made.longest = max(map(len, tokens))
+        made.table = bpe.prefix_table(made.ids, "")
         for _ in range(40):
             word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 12)))
             assert [tokens[i] for i in made.encode_symbols(word)] == plain_merges(word, ranks), (merges, word)
