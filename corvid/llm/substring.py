@@ -1,4 +1,9 @@
-"""Substring de-duplication by relative Lempel-Ziv factors.
+"""Substring de-duplication by winnowed anchors.
+
+It stands in for relative Lempel-Ziv parsing, which factors every document
+against every reference block: measured, far over any budget, and growing with
+the square of the corpus (README). What a factor of ``window`` words or more
+would find is found here by anchors that all blocks agree on.
 
 The corpus is dealt into reference blocks. Each block is indexed by anchors:
 the smallest hash among the short word grams of every ``window`` consecutive
