@@ -7,6 +7,7 @@ combines each task's tokens before the shuffle, so a very frequent token
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.text import split_keep_empty, split_tokens_of_lines
+from corvid.session import scratch_path
 
 
 def words(df: DataFrame, text_col: str, keep: Sequence[str] = (), sep: str = " ",
@@ -86,6 +88,11 @@ def vector_sum(c: str):
     return F.aggregate(vector_to_array(F.col(c)), F.lit(0.0), lambda acc, x: acc + x)
 
 
+# Documents whose rows of one term may share a bucket; fewest parts of a term.
+SALT_DOCS = 1_000_000
+LEAST_SALTS = 8
+
+
 def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str, n_docs=None) -> DataFrame:
     """Exact-vocabulary TF-IDF per ``(document, term)``, with the term's
     document frequency ``df`` and total count ``cf``.
@@ -93,23 +100,31 @@ def tfidf_terms(docs: DataFrame, doc_col: str, tokens_col: str, n_docs=None) ->
     ``idf = ln((N + 1) / (df + 1))`` as in Spark's ``IDF`` with
     ``minDocFreq`` 0; ``N`` counts every document row (a scalar subquery over
     ``docs`` unless the caller passes a cheaper ``n_docs`` column).
-    Document frequencies come from a partial + final aggregate over distinct
-    ``(doc, term)`` pairs and are joined back on ``term``. A term present in
-    nearly every document makes that join skewed. AQE splits such a partition
-    only if both sides are shuffled for the join alone, which the aggregate's
-    own partitioning would spare; the key is therefore named anew by an
-    expression, and the (small) frequencies are shuffled once more.
+
+    Tokens are shuffled once, by term and a part of the documents (a hash of
+    the document, so that a term of nearly every document is spread over
+    several buckets). Term frequencies come from that partitioning and are
+    written bucketed by it: document frequencies are added up from the buckets
+    (a row for each term and part), and the join reads the buckets again.
+    Neither shuffles the term frequencies a second time.
     """
+    spark = docs.sparkSession
     if n_docs is None:
         n_docs = docs.select(F.count(F.lit(1))).scalar()
+    salts = max(LEAST_SALTS, -(-docs.select(doc_col).count() // SALT_DOCS))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     terms = (docs.select(doc_col, F.explode_outer(tokens_col).alias("term"))
-             .filter(F.col("term").isNotNull()))
-    tf = terms.groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    # reading tf's count keeps both branches on the same shuffle, which Spark
-    # then runs once and reuses; cf is the term's total count
-    doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    doc_freq = doc_freq.select(F.concat("term", F.lit("")).alias("term"), "df", "cf")
+             .filter(F.col("term").isNotNull())
+             .withColumn("_salt", F.pmod(F.xxhash64(doc_col), F.lit(salts)).cast("int")))
+    name = f"term_frequencies_{uuid.uuid4().hex}"
+    (terms.repartition(buckets, "term", "_salt").groupBy("term", "_salt", doc_col).agg(F.count(F.lit(1)).alias("tf"))
+     .write.bucketBy(buckets, "term", "_salt").option("path", scratch_path(spark, "term-frequencies"))
+     .format("parquet").saveAsTable(name))
+    tf = spark.table(name)
+    parts = tf.groupBy("term", "_salt").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    doc_freq = parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"), F.collect_list("_salt").alias("salts"))
+    doc_freq = doc_freq.select("term", F.explode("salts").alias("_salt"), "df", "cf")
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
-    return (tf.join(doc_freq, "term")
+    return (tf.join(doc_freq, ["term", "_salt"]).drop("_salt")
             .withColumn("idf", idf)
             .withColumn("tfidf", F.col("tf") * F.col("idf")))

@@ -94,16 +94,13 @@ def test_bucketed_write_splits_a_hot_key(spark, sf_dir):
     assert "Exchange" not in plan
 
 
-def test_tfidf_join_splits_a_term_of_every_document(spark):
-    # without broadcasts, the partition of the term that all documents have is
-    # split at run time
-    from corvid.operators.text import tfidf_terms
+def test_tfidf_shuffles_tokens_once_and_spreads_a_term_of_every_document(spark):
+    # without broadcasts, the term frequencies are read from their buckets by
+    # aggregate and join, and the term that all documents have is in several
+    from corvid.operators.text import LEAST_SALTS, tfidf_terms
 
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.shuffle.partitions": "16"}
     before = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
@@ -112,10 +109,15 @@ def test_tfidf_join_splits_a_term_of_every_document(spark):
         docs = spark.range(0, 60000, 1, 8).select(
             F.col("id").alias("doc_id"), F.array(F.lit("hot"), F.concat(F.lit("t"), F.col("id") % 997)).alias("terms"))
         out = tfidf_terms(docs, "doc_id", "terms")
-        rows = out.collect()
+        rows = out.withColumn("part", F.spark_partition_id()).collect()
         assert len(rows) == 120000
         assert {r.df for r in rows if r.term == "hot"} == {60000}
-        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        spread = [r.part for r in rows if r.term == "hot"]
+        assert len(set(spread)) > LEAST_SALTS / 2 and max(map(spread.count, set(spread))) < 60000 / 2
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # the document frequencies alone travel: to be added up by term, and to the join
+        exchanges = [line for line in plan.split("Initial Plan")[-1].splitlines() if "Exchange hashpartitioning" in line]
+        assert len(exchanges) == 2 and "SortMergeJoin" in plan
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
