@@ -29,7 +29,6 @@ from corvid.session import scratch_path
 # Partitions of a fit's input: k-means seeding follows partitions and row
 # order, so both follow the rows instead of the cluster.
 FIT_ROWS = 50_000
-LEAST_FIT_PARTITIONS = 4
 # Labels that one range holds when they are ranked, and seeded starts of a sweep.
 LABEL_ROWS = 500_000
 STARTS = 3
@@ -37,7 +36,7 @@ STARTS = 3
 
 def fit_partitions(rows: int) -> int:
     """As many partitions as the rows ask for, the same on every cluster."""
-    return max(LEAST_FIT_PARTITIONS, -(-rows // FIT_ROWS))
+    return max(1, -(-rows // FIT_ROWS))
 
 
 def in_fit_order(features: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
