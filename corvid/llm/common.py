@@ -22,13 +22,14 @@ from corvid.session import scratch_path
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def written(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet (compressed by ``codec``, if given) in the
+    shared folder and read it back.
 
     Cuts the lineage: executors lost later cost no recomputation of what
     stands before, and every consumer reads the same rows."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
     return df.sparkSession.read.schema(schema).parquet(path)
 

@@ -20,8 +20,8 @@ prose paragraphs of an article element, which are quotes. The alignment runs
 on every page; it tells nothing if the pair is two copies of one article (most
 of the text is shared).
 
-Pages are dealt into ranges of the sorted order, as many as their bytes ask
-for, and travel once. A task streams through its range and holds three pages
+Pages' lines are dealt into ranges of the sorted order, as many as the bytes
+ask for, and travel once, compressed. A task streams through its range and holds three pages
 at a time; the first and last page of a range meet their neighbours from the
 ranges beside it in a second pass over these two pages of each range. So every
 page meets its neighbours, however many pages a host has, and nothing held in
@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import html as references
 import re
+import zlib
 from collections.abc import Iterable
 from itertools import groupby
 from urllib.parse import urlsplit
@@ -50,6 +51,8 @@ from corvid.llm.common import release_memory, total_bytes, written
 
 # Html of a range of pages, which a task streams through.
 RANGE_BYTES = 64 << 20
+# How hard lines are compressed before they travel.
+PACK_LEVEL = 4
 # Text of an output batch.
 BATCH_CHARS = 4 << 20
 # Share of a page's own text that a pair may share before it counts as a copy.
@@ -289,6 +292,25 @@ def _key_of(url: Column) -> Column:
     return keys(url)
 
 
+def _packed_lines(html: Column) -> Column:
+    """A page's lines and their kinds, compressed: much less than its html."""
+    @F.arrow_udf("binary")
+    def pack(pages: pa.Array) -> pa.Array:
+        out = []
+        for page in pages:
+            lines, kinds = text_lines(page.as_py() or "")
+            out.append(zlib.compress(len(lines).to_bytes(4, "little") + bytes(kinds) + "\n".join(lines).encode(), PACK_LEVEL))
+        return pa.array(out, pa.binary())
+
+    return pack(html)
+
+
+def _unpacked(data: bytes) -> tuple[str, bytes]:
+    whole = zlib.decompress(data)
+    count = int.from_bytes(whole[:4], "little")
+    return whole[4 + count:].decode(), whole[4:4 + count]
+
+
 def _lines(page: dict | None) -> list[str]:
     return page["lines"].split("\n") if page and page["lines"] else []
 
@@ -309,8 +331,9 @@ def extract(pages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
                         F.col("html").cast("string").alias("html"))
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total_bytes(rows, "html") // range_bytes))
     key = _key_of(F.col("url"))
-    order = ["key.host", "key.path", F.coalesce("page_id", F.lit(_NO_ID)), F.xxhash64("html")]
-    dealt = rows.withColumn("key", key).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    order = ["key.host", "key.path", F.coalesce("page_id", F.lit(_NO_ID)), "tie"]
+    dealt = rows.select("page_id", "url", key.alias("key"), F.xxhash64("html").alias("tie"), _packed_lines(F.col("html")).alias("packed"))
+    dealt = dealt.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
     def differ(batches):
         part, before, own, ids, seen = TaskContext.get().partitionId(), None, None, None, 0
@@ -335,9 +358,9 @@ def extract(pages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
 
         for batch in batches:
             size = 0
-            for page_id, url, html, host, path in zip(*batch.columns, strict=True):
-                lines, kinds = text_lines(html.as_py() or "")
-                page = {"host": host.as_py(), "path": path.as_py(), "lines": "\n".join(lines), "kinds": bytes(kinds)}
+            for page_id, url, packed, host, path in zip(*batch.columns, strict=True):
+                lines, kinds = _unpacked(packed.as_py())
+                page = {"host": host.as_py(), "path": path.as_py(), "lines": lines, "kinds": kinds}
                 if own is not None:
                     done(page)
                     before = own
@@ -352,7 +375,7 @@ def extract(pages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
             yield batch_of()
         release_memory()
 
-    found = written(dealt.select("page_id", "url", "html", "key.host", "key.path").mapInArrow(differ, _ROW), "pages-differenced")
+    found = written(dealt.select("page_id", "url", "packed", "key.host", "key.path").mapInArrow(differ, _ROW), "pages-differenced", "zstd")
     # the first and last page of each range, with their neighbours in other ranges
     ends = found.where("part is not null")
     numbered = ends.select("part").distinct().withColumn("range", F.row_number().over(Window.orderBy("part")))
