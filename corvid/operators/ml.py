@@ -29,9 +29,11 @@ from corvid.session import scratch_path
 # Partitions of a fit's input: k-means seeding follows partitions and row
 # order, so both follow the rows instead of the cluster.
 FIT_ROWS = 50_000
-# Labels that one range holds when they are ranked, and seeded starts of a sweep.
+# Labels that one range holds when they are ranked.
 LABEL_ROWS = 500_000
+# Seeded starts of each k of a sweep, and at most.
 STARTS = 3
+MOST_STARTS = 16
 
 
 def fit_partitions(rows: int) -> int:
@@ -148,6 +150,8 @@ def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features:
                  ks: Iterable[int], seed: int = 1, parallelism: int = 8, starts: int = STARTS) -> DataFrame:
     """``(k, silhouette, training_cost)`` for each k: of ``starts`` seeded
     fits the cheapest counts, since a single start may end in a poor optimum.
+    While a k costs more than the one before, which its optimum never does,
+    it gets another start, up to ``MOST_STARTS``.
 
     The text features are computed once and persisted (memory, spilling to
     disk; a lost block is recomputed from lineage), and only k-means is
@@ -162,15 +166,26 @@ def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features:
         model = kmeans(k, seed + start).fit(train_features)
         return float(model.summary.trainingCost), start, model
 
-    def score_best(k: int, fits: list) -> tuple[int, float | None, float]:
-        cost, _, model = min((f.result() for f in fits), key=lambda f: f[:2])
-        score = silhouette(model.transform(test_features))
-        return int(k), None if score is None else float(score), cost
+    def best_of(k: int, fits: list, below: float) -> tuple[float, int, KMeansModel]:
+        best = min((f.result() for f in fits), key=lambda f: f[:2])
+        for start in range(starts, MOST_STARTS):
+            if best[0] <= below:
+                break
+            best = min(best, fit_one(k, start), key=lambda f: f[:2])
+        return best
+
+    def score(k: int, fit: tuple[float, int, KMeansModel]) -> tuple[int, float | None, float]:
+        found = silhouette(fit[2].transform(test_features))
+        return int(k), None if found is None else float(found), fit[0]
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             fits = {k: [pool.submit(fit_one, k, start) for start in range(starts)] for k in ks}
-            rows = [score_best(k, found) for k, found in fits.items()]
+            best, below = {}, float("inf")
+            for k in sorted(fits):
+                best[k] = best_of(k, fits[k], below)
+                below = best[k][0]
+            rows = list(pool.map(score, best, best.values()))
     finally:
         train_features.unpersist()
         test_features.unpersist()
