@@ -8,11 +8,14 @@ writes the files of few buckets and a large bucket is written by several.
 
 from __future__ import annotations
 
+import os
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvid.sinks.folders import _path
 from corvid.sources.files import TEXT_TS_OPTIONS
 
 
@@ -30,11 +33,63 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite",
     """Text output: one string column per row (plus partition columns), ended
     by ``line_sep`` (default: a line feed).
     ``gzip`` output is not splittable on read; prefer ``zstd``/``bzip2`` for
-    large files that will be read back in parallel."""
+    large files that will be read back in parallel. A file for each record
+    (``records_per_file`` 1) of a new local or mounted folder is written by
+    ``_write_record_files``."""
+    if records_per_file == 1 and mode == "errorifexists" and compression is None:
+        fs, target = _path(df.sparkSession, path)
+        if fs.getUri().getScheme() == "file" and not fs.exists(target):
+            return _write_record_files(df, target.toUri().getPath(), partition_by or [], line_sep or "\n")
     _writer(df, mode, partition_by, {"compression": compression, "lineSep": line_sep,
                                      "maxRecordsPerFile": records_per_file}).text(path)
 
 
+def _write_record_files(df: DataFrame, folder: str, partition_by: Sequence[str], line_sep: str) -> None:
+    """One text file per row in ``column=value`` folders, laid out as Spark's
+    writer does, in a folder that all tasks reach as a local path.
+
+    Tasks create the files where they stay. Spark's local file system starts
+    two ``chmod`` processes for each file, writes a checksum file beside it and
+    has the driver rename them one by one.
+
+    Rows are sorted in each partition and a file is named by its partition and
+    its number there, so a task that runs again writes the same bytes
+    to the same names; ``_SUCCESS`` follows when all are done."""
+    value, = (c for c in df.columns if c not in partition_by)
+    # folder names in the bytes by which the JVM finds them
+    codec = df.sparkSession._jvm.System.getProperty("sun.jnu.encoding") or "UTF-8"
+
+    def write(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        def escaped(name):
+            return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", name)
+
+        task, end = TaskContext.get().partitionId(), line_sep.encode()
+        last, at, number = None, None, 0
+        for batch in batches:
+            *keys, texts = batch.columns
+            for *key, text in zip(*(k.to_pylist() for k in keys), texts.cast(pa.large_binary()).to_pylist(), strict=True):
+                if at is None or key != last:
+                    names = [f"{escaped(c)}={escaped(v) if v else '__HIVE_DEFAULT_PARTITION__'}"
+                             for c, v in zip(partition_by, key, strict=True)]
+                    last, at = key, "/".join([folder, *names]).encode(codec, "replace")
+                    os.makedirs(at, exist_ok=True)
+                with open(at + b"/part-%05d-%06d.txt" % (task, number), "wb") as f:
+                    f.write((text or b"") + end)
+                number += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([number], pa.int64())})
+
+    # nulls and empty values share a folder
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in partition_by]
+    rows = df.select(*keys, value).sortWithinPartitions(*partition_by, value)
+    os.makedirs(folder)
+    rows.mapInArrow(write, "files LONG").agg(F.sum("files")).collect()
+    with open(f"{folder}/_SUCCESS", "wb"):
+        pass
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
                   partition_by: Sequence[str] | None = None,
                   options: dict[str, str] | None = None) -> None:

@@ -22,6 +22,9 @@ from pyspark.sql.types import StructType
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TEXT_TS_OPTIONS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT}
 
+# Scan partitions that one task reads when there are very many small files.
+PARTS_PER_TASK = 32
+
 
 def _reader(spark: SparkSession, schema: StructType | str | None = None, **options):
     reader = spark.read
@@ -56,7 +59,10 @@ def read_whole_files(spark: SparkSession, path: str, recursive: bool = False,
     with session_conf(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", listing):
         df = _reader(spark, recursiveFileLookup="true" if recursive else None).text(
             target, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("path"), "value")
+    files = df.select(F.col("_metadata.file_path").alias("path"), "value")
+    # Spark counts 4 MB for opening a file, which makes a task of some 30 small ones
+    parts = files.rdd.getNumPartitions()
+    return files.coalesce(max(1, min(parts, max(spark.sparkContext.defaultParallelism * 2, -(-parts // PARTS_PER_TASK)))))
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], header: bool = False,

@@ -2,11 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from corvid.operators import relational as rel
 from corvid.operators.text import word_counts
 from corvid.session import scratch_path
+from corvid.sinks import files as sinks
 from corvid.sources import files as src
 from corvid.streaming import folder_stream as fs
 
@@ -226,3 +228,33 @@ def test_append_mode_emits_closed_windows(spark, workdir):
                   for r in spark.read.parquet(sink).collect())
     # the 03:00 window is still open (watermark 02:50) and not written yet
     assert rows == [("2024-01-01 00:00:00", "a", 2, 3.0), ("2024-01-01 01:00:00", "b", 1, 4.0)]
+
+
+def test_a_file_for_each_record_as_spark_lays_them_out(spark, workdir):
+    # odd topics and texts, written by tasks and by Spark's writer; a second
+    # look at the folder finds no checksum files and no renamed attempts
+    rows = [(topic, text) for topic in ("a", "b=c/d", "1%2:3", " ", "", None, "src\n1")
+            for text in ("one", "two\nlines", "", None, "é", "one")]
+    df = spark.createDataFrame(rows, "topic STRING, value STRING").repartition(3)
+    ours, theirs = os.path.join(workdir, "ours"), os.path.join(workdir, "theirs")
+    sinks.write_text(df, ours, "errorifexists", partition_by=["topic"], records_per_file=1)
+    df.write.option("maxRecordsPerFile", 1).partitionBy("topic").text(theirs)
+
+    def found(path):
+        files = src.read_whole_files(spark, path, levels=1).collect()
+        return sorted((f["path"].rsplit("/", 2)[1], f["value"]) for f in files)
+
+    assert found(ours) == found(theirs) and len(found(ours)) == len(rows)
+    names = [n for _, _, files in os.walk(ours) for n in files]
+    assert sorted(n for n in names if not n.startswith("part-")) == ["_SUCCESS"] and len(names) == len(rows) + 1
+    with pytest.raises(Exception, match="already exists"):
+        sinks.write_text(df, ours, "errorifexists", partition_by=["topic"], records_per_file=1)
+
+
+def test_many_small_files_share_tasks(spark, workdir):
+    path = os.path.join(workdir, "many")
+    sinks.write_text(spark.range(3000).select(F.col("id").cast("string").alias("value")).repartition(8), path,
+                     "errorifexists", records_per_file=1)
+    files = src.read_whole_files(spark, path)
+    assert files.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert {int(f["value"]) for f in files.collect()} == set(range(3000))
