@@ -12,13 +12,14 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable, Sequence
 
 import numpy as np
+import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, IDFModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,9 @@ from corvid.session import scratch_path
 # Partitions of a fit's input: k-means seeding follows partitions and row
 # order, so both follow the rows instead of the cluster.
 FIT_ROWS = 50_000
+# Rows in a file of a sweep's input; numbers in a block of its matrix products.
+FILE_ROWS = 8192
+BLOCK_CELLS = 2_000_000
 # Labels that one range holds when they are ranked.
 LABEL_ROWS = 500_000
 # Seeded starts of each k of a sweep, and at most.
@@ -146,6 +150,137 @@ def cluster_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:
     return spark.createDataFrame(rows, "cluster INT, center ARRAY<DOUBLE>")
 
 
+def sparse_rows(features: DataFrame, features_col: str = "features") -> DataFrame:
+    """The vectors as a written table of their entries other than zero: the
+    ``places`` (int32) and ``amounts`` (double) of a row as bytes. Passes read
+    whole batches of it as arrays; a file holds ``FILE_ROWS`` rows, so that a
+    pass spreads over more tasks than a fit's input has partitions."""
+    def pack(batches):
+        import pyarrow as pa
+
+        def cells(data, width, ends):
+            offsets = (ends * width).astype(np.int32)
+            return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+        for batch in batches:
+            if batch.num_rows:
+                dense = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                row, place = np.nonzero(dense)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(dense)))])
+                yield pa.RecordBatch.from_arrays([cells(place.astype(np.int32), 4, ends),
+                                                  cells(np.ascontiguousarray(dense[row, place]), 8, ends)],
+                                                 ["places", "amounts"])
+
+    path = scratch_path(features.sparkSession, "sparse-rows")
+    packed = features.select(vector_to_array(F.col(features_col))).mapInArrow(pack, "places BINARY, amounts BINARY")
+    packed.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    return features.sparkSession.read.parquet(path)
+
+
+def lloyd_pass(rows: DataFrame, models: Sequence[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """For each model (its centres as rows) the cost of all ``rows`` at their
+    nearest centres, and the number and the sum of every centre's rows.
+
+    One pass serves all models: distances and sums are two matrix products for
+    each block. Sums are added up by centre, and a row for each centre reaches
+    the driver."""
+    dims = models[0].shape[1]
+    ends = np.cumsum([len(m) for m in models])
+    shared = rows.sparkSession.sparkContext.broadcast(np.vstack(models))
+    block = max(1, BLOCK_CELLS // dims)
+
+    def assign(batches):
+        import pyarrow as pa
+
+        centers = shared.value
+        squares = np.einsum("ij,ij->i", centers, centers)
+        sums, sizes, costs = np.zeros_like(centers), np.zeros(len(centers)), np.zeros(len(centers))
+
+        def cells(column, kind):
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+            data = column.buffers()[2]
+            return np.frombuffer(data, kind, offsets[-1] // kind().itemsize) if data and offsets[-1] else np.zeros(0, kind), offsets // kind().itemsize
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            (places, starts), (amounts, first) = (cells(c, k) for c, k in zip(batch.columns, (np.int32, np.float64), strict=True))
+            for top in range(0, batch.num_rows, block):
+                at, start = starts[top:top + block + 1], first[top:top + block + 1]
+                n = len(at) - 1
+                x = np.zeros((n, dims))
+                x[np.repeat(np.arange(n), np.diff(at)), places[at[0]:at[-1]]] = amounts[start[0]:start[-1]]
+                norms = np.einsum("ij,ij->i", x, x)
+                far = x @ centers.T
+                far *= -2
+                far += norms[:, None]
+                far += squares
+                member = np.zeros((len(centers), n))
+                for low, high in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+                    own = low + far[:, low:high].argmin(axis=1)
+                    cost = far[np.arange(n), own]
+                    # the difference of large numbers says little about a row near its centre
+                    near = np.flatnonzero(cost <= 1e-6 * (norms + squares[own]))
+                    cost[near] = ((x[near] - centers[own[near]]) ** 2).sum(axis=1)
+                    member[own, np.arange(n)] = 1
+                    costs += np.bincount(own, cost, len(centers))
+                sums += member @ x
+                sizes += member.sum(axis=1)
+        yield pa.RecordBatch.from_pydict({"center": pa.array(np.arange(len(centers)), pa.int32()), "n": sizes, "cost": costs,
+                                          "total": pa.array([r.tobytes() for r in sums], pa.binary())})
+
+    def add(parts):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        total = np.sum([np.frombuffer(t) for t in parts["total"].to_pylist()], axis=0)
+        return pa.table({"center": parts["center"][:1], "n": [pc.sum(parts["n"])], "cost": [pc.sum(parts["cost"])],
+                         "total": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "center INT, n DOUBLE, cost DOUBLE, total BINARY"
+    found = rows.mapInArrow(assign, kind).groupBy("center").applyInArrow(add, kind).toArrow().sort_by("center")
+    shared.destroy()
+    sizes, costs = found["n"].to_numpy(), found["cost"].to_numpy()
+    sums = np.stack([np.frombuffer(t) for t in found["total"].to_pylist()])
+    return [(float(costs[e - len(m):e].sum()), sizes[e - len(m):e], sums[e - len(m):e]) for m, e in zip(models, ends, strict=True)]
+
+
+def lloyd(rows: DataFrame, models: Sequence[np.ndarray], max_iter: int, tol: float) -> list[tuple[float, np.ndarray]]:
+    """``(training cost, centres)`` of each model after k-means iterations as
+    Spark's ``KMeans`` does them: until no centre moves by more than ``tol`` or
+    for ``max_iter`` passes; a centre without rows stays; the cost is that of the
+    last assignment. All models that still move share a pass."""
+    fits = [(0.0, m) for m in models]
+    moving = list(range(len(models)))
+    for _ in range(max_iter):
+        if not moving:
+            break
+        found = lloyd_pass(rows, [fits[i][1] for i in moving])
+        still = []
+        for i, (cost, sizes, sums) in zip(moving, found, strict=True):
+            old = fits[i][1]
+            new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], old)
+            fits[i] = cost, new
+            if (((new - old) ** 2).sum(axis=1) > tol * tol).any():
+                still.append(i)
+        moving = still
+    return fits
+
+
+def nearest_centers(features: DataFrame, models: Sequence[np.ndarray], features_col: str = "features",
+                    prediction_col: str = "predictions") -> DataFrame:
+    """``features`` with the number of its nearest centre in each model."""
+    @F.pandas_udf("array<int>")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        own = []
+        for top in range(0, len(vectors), 1000):
+            x = np.stack(vectors.iloc[top:top + 1000].to_numpy())
+            own.append(np.stack([((m * m).sum(axis=1) - 2 * (x @ m.T)).argmin(axis=1) for m in models], axis=1))
+        return pd.Series(list(np.concatenate(own).astype(np.int32)) if own else [])
+
+    return features.withColumn(prediction_col, nearest(vector_to_array(F.col(features_col))))
+
+
 def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features: DataFrame,
                  ks: Iterable[int], seed: int = 1, parallelism: int = 8, starts: int = STARTS) -> DataFrame:
     """``(k, silhouette, training_cost)`` for each k: of ``starts`` seeded
@@ -154,42 +289,62 @@ def kmeans_sweep(spark: SparkSession, train_features: DataFrame, test_features:
     it gets another start, up to ``MOST_STARTS``.
 
     The text features are computed once and persisted (memory, spilling to
-    disk; a lost block is recomputed from lineage), and only k-means is
-    refitted per k. Up to ``parallelism`` fits are submitted at once (as
-    ``CrossValidator`` does), so the scheduler overlaps their small
-    per-iteration jobs.
+    disk; a lost block is recomputed from lineage). Every start's first centres
+    are Spark's (k-means||), of as many starts at once as keep the cores busy,
+    up to ``parallelism``: each holds a copy of the vectors. The iterations of
+    all starts of all k share their passes over the rows (``lloyd``), so the
+    passes don't grow in number with the fits.
     """
     train_features = train_features.persist(StorageLevel.MEMORY_AND_DISK)
     test_features = test_features.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit_one(k: int, start: int) -> tuple[float, int, KMeansModel]:
-        model = kmeans(k, seed + start).fit(train_features)
-        return float(model.summary.trainingCost), start, model
-
-    def best_of(k: int, fits: list, below: float) -> tuple[float, int, KMeansModel]:
-        best = min((f.result() for f in fits), key=lambda f: f[:2])
-        for start in range(starts, MOST_STARTS):
-            if best[0] <= below:
-                break
-            best = min(best, fit_one(k, start), key=lambda f: f[:2])
-        return best
-
-    def score(k: int, fit: tuple[float, int, KMeansModel]) -> tuple[int, float | None, float]:
-        found = silhouette(fit[2].transform(test_features))
-        return int(k), None if found is None else float(found), fit[0]
-
+    fits: dict[tuple[int, int], tuple[float, np.ndarray]] = {}
+
+    def first_centers(k: int, start: int) -> np.ndarray:
+        return np.stack(kmeans(k, seed + start, max_iter=0).setSolver("row").fit(vectors).clusterCenters())
+
+    def cheapest(more: int) -> tuple[dict[int, tuple[float, int]], list[tuple[int, int]]]:
+        """The cheapest ``(cost, start)`` of each k, and the next ``more``
+        starts of every k that asks for some which are not fitted yet."""
+        best, wanted, below = {}, [], float("inf")
+        for k in ks:
+            best[k] = min((fits[k, start][0], start) for start in range(starts))
+            for start in range(starts, MOST_STARTS):
+                if best[k][0] <= below:
+                    break
+                if (k, start) not in fits:
+                    wanted += [(k, s) for s in range(start, min(start + more, MOST_STARTS))]
+                    break
+                best[k] = min(best[k], (fits[k, start][0], start))
+            below = best[k][0]
+        return best, wanted
+
+    ks = sorted(ks)
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fits = {k: [pool.submit(fit_one, k, start) for start in range(starts)] for k in ks}
-            best, below = {}, float("inf")
-            for k in sorted(fits):
-                best[k] = best_of(k, fits[k], below)
-                below = best[k][0]
-            rows = list(pool.map(score, best, best.values()))
+        rows, settings = sparse_rows(train_features), kmeans(2)
+        # a projection counts as not persisted, so that a fit holds the vectors
+        # themselves while it runs, and decodes its input once, not in each pass
+        vectors = train_features.select("features")
+        busy = 2 * spark.sparkContext.defaultParallelism // fit_partitions(rows.count())
+        at_once = max(1, min(parallelism, busy))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool, ThreadPoolExecutor(max_workers=at_once) as first:
+            wanted, more = [(k, start) for k in ks for start in range(starts)], 1
+            while wanted:
+                models = list(first.map(lambda fit: first_centers(*fit), wanted))
+                fits.update(zip(wanted, lloyd(rows, models, settings.getMaxIter(), settings.getTol()), strict=True))
+                best, wanted = cheapest(more)
+                more *= 2
+            placed = nearest_centers(test_features, [fits[k, best[k][1]][1] for k in ks]).persist(StorageLevel.MEMORY_AND_DISK)
+
+            def score(at: int) -> float | None:
+                found = silhouette(placed.select("features", F.col("predictions")[at].cast("double").alias("prediction")))
+                return None if found is None else float(found)
+
+            found = [(int(k), s, best[k][0]) for k, s in zip(ks, pool.map(score, range(len(ks))), strict=True)]
+            placed.unpersist()
     finally:
         train_features.unpersist()
         test_features.unpersist()
-    return spark.createDataFrame(rows, "k INT, silhouette DOUBLE, training_cost DOUBLE")
+    return spark.createDataFrame(found, "k INT, silhouette DOUBLE, training_cost DOUBLE")
 
 
 def logistic(reg_param: float = 0.01, threshold: float = 0.5) -> LogisticRegression:

@@ -47,6 +47,45 @@ def test_masked_idf_equals_a_fitted_one(spark):
         assert all((abs(p.features.toArray() - p.w.toArray()) < 1e-12).all() for p in pairs)
 
 
+@pytest.mark.parametrize("rows", ["spread", "few", "dense"])
+def test_sweep_equals_fits_one_by_one_in_shared_passes(spark, monkeypatch, rows):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    random = np.random.default_rng(7)
+    if rows == "few":           # fewer different rows than centres, one of them zero
+        found = [Vectors.sparse(6, {}) if i % 3 else Vectors.sparse(6, {1: 0.1, 4: 3.7}) for i in range(60)]
+    elif rows == "dense":
+        found = [Vectors.dense(random.normal(size=6) + i % 4) for i in range(400)]
+    else:
+        found = [Vectors.sparse(6, sorted(random.choice(6, i % 4, replace=False).tolist()), (random.random(i % 4) * (1 + i % 9)).tolist())
+                 for i in range(600)]
+    data = spark.createDataFrame(list(enumerate(found)), ["doc_id", "features"])
+    train = ml.in_fit_order(data.where("doc_id % 5 > 0"), "doc_id", 3)
+    test, ks, passes, one = data.where("doc_id % 5 = 0"), (2, 3, 4, 5), [], ml.lloyd_pass
+    monkeypatch.setattr(ml, "lloyd_pass", lambda *a: passes.append(len(a[1])) or one(*a))
+    monkeypatch.setattr(ml, "BLOCK_CELLS", 60)
+    got = ml.kmeans_sweep(spark, train, test, ks).orderBy("k").collect()
+
+    train.cache()
+    below, want = float("inf"), []
+    for k in ks:
+        fits = []
+        for start in range(ml.MOST_STARTS):
+            if start >= ml.STARTS and min(f[:2] for f in fits)[0] <= below:
+                break
+            model = ml.kmeans(k, 1 + start).fit(train)
+            fits.append((model.summary.trainingCost, start, model))
+        below, _, model = min(fits, key=lambda f: f[:2])
+        want.append((k, ml.silhouette(model.transform(test)), below))
+    train.unpersist()
+    assert [r.k for r in got] == list(ks)
+    for r, (_, score, cost) in zip(got, want, strict=True):
+        assert r.training_cost == pytest.approx(cost, rel=1e-9, abs=1e-12)
+        assert r.silhouette == (None if score is None else pytest.approx(score, rel=1e-9))
+    assert passes[0] == len(ks) * ml.STARTS             # all fits in one pass
+
+
 def test_the_tuning_query_reads_the_written_search(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(text_models, "GRID_NUM_FEATURES", (50, 100))
     monkeypatch.setattr(text_models, "GRID_MIN_DOC_FREQ", (0,))
