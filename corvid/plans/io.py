@@ -56,8 +56,8 @@ def src_whole_files(spark, sf_dir):
     # hash of the unique doc_id, so a hot topic is written by all tasks; the
     # number is given, since so few bytes would be coalesced into one task
     writers = spark.sparkContext.defaultParallelism * 8
-    sinks.write_text(docs.repartition(writers, "doc_id").select("source", "text"), path, "errorifexists",
-                     partition_by=["source"], records_per_file=1)
+    sinks.write_text(docs, path, "errorifexists", partition_by=["source"], records_per_file=1,
+                     deal=(writers, "doc_id"))
     files = src.read_whole_files(spark, path, levels=1)
     return files.select(
         F.col("value").alias("text"),

@@ -29,9 +29,11 @@ def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None, option
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite",
                compression: str | None = None, partition_by: Sequence[str] | None = None,
-               line_sep: str | None = None, records_per_file: int | None = None) -> None:
+               line_sep: str | None = None, records_per_file: int | None = None,
+               deal: tuple[int, str] | None = None) -> None:
     """Text output: one string column per row (plus partition columns), ended
-    by ``line_sep`` (default: a line feed).
+    by ``line_sep`` (default: a line feed). ``deal`` (tasks, column) deals the
+    rows out to so many tasks by a column that is not written.
     ``gzip`` output is not splittable on read; prefer ``zstd``/``bzip2`` for
     large files that will be read back in parallel. A file for each record
     (``records_per_file`` 1) of a new local or mounted folder is written by
@@ -39,12 +41,15 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite",
     if records_per_file == 1 and mode == "errorifexists" and compression is None:
         fs, target = _path(df.sparkSession, path)
         if fs.getUri().getScheme() == "file" and not fs.exists(target):
-            return _write_record_files(df, target.toUri().getPath(), partition_by or [], line_sep or "\n")
+            return _write_record_files(df, target.toUri().getPath(), partition_by or [], line_sep or "\n", deal)
+    if deal:
+        df = df.repartition(*deal).drop(deal[1])
     _writer(df, mode, partition_by, {"compression": compression, "lineSep": line_sep,
                                      "maxRecordsPerFile": records_per_file}).text(path)
 
 
-def _write_record_files(df: DataFrame, folder: str, partition_by: Sequence[str], line_sep: str) -> None:
+def _write_record_files(df: DataFrame, folder: str, partition_by: Sequence[str], line_sep: str,
+                        deal: tuple[int, str] | None = None) -> None:
     """One text file per row in ``column=value`` folders, laid out as Spark's
     writer does, in a folder that all tasks reach as a local path.
 
@@ -54,11 +59,24 @@ def _write_record_files(df: DataFrame, folder: str, partition_by: Sequence[str],
 
     Rows are sorted in each partition and a file is named by its partition and
     its number there, so a task that runs again writes the same bytes
-    to the same names; ``_SUCCESS`` follows when all are done."""
-    value, = (c for c in df.columns if c not in partition_by)
+    to the same names; ``_SUCCESS`` follows when all are done. Texts that are
+    dealt out travel compressed, since what is shuffled stays on disk beside
+    the files."""
+    value, = (c for c in df.columns if c not in (*partition_by, *(deal or ())[1:]))
     # folder names in the bytes by which the JVM finds them
     codec = df.sparkSession._jvm.System.getProperty("sun.jnu.encoding") or "UTF-8"
 
+    def pack(batches):
+        import pyarrow as pa
+
+        zstd = pa.Codec("zstd")
+        for batch in batches:
+            *others, values, _ = batch.columns
+            texts = [t or b"" for t in values.to_pylist()]
+            columns = [pa.array([zstd.compress(t, asbytes=True) for t in texts], values.type),
+                       pa.array([*map(len, texts)], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*others, *columns], names=batch.schema.names)
+
     def write(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -66,26 +84,32 @@ def _write_record_files(df: DataFrame, folder: str, partition_by: Sequence[str],
         def escaped(name):
             return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", name)
 
-        task, end = TaskContext.get().partitionId(), line_sep.encode()
+        task, end, zstd = TaskContext.get().partitionId(), line_sep.encode(), pa.Codec("zstd")
         last, at, number = None, None, 0
         for batch in batches:
-            *keys, texts = batch.columns
-            for *key, text in zip(*(k.to_pylist() for k in keys), texts.cast(pa.large_binary()).to_pylist(), strict=True):
+            for *key, text, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if at is None or key != last:
                     names = [f"{escaped(c)}={escaped(v) if v else '__HIVE_DEFAULT_PARTITION__'}"
                              for c, v in zip(partition_by, key, strict=True)]
                     last, at = key, "/".join([folder, *names]).encode(codec, "replace")
                     os.makedirs(at, exist_ok=True)
                 with open(at + b"/part-%05d-%06d.txt" % (task, number), "wb") as f:
-                    f.write((text or b"") + end)
+                    f.write(((text or b"") if size is None else zstd.decompress(text, size, asbytes=True)) + end)
                 number += 1
         yield pa.RecordBatch.from_pydict({"files": pa.array([number], pa.int64())})
 
     # nulls and empty values share a folder
-    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in partition_by]
-    rows = df.select(*keys, value).sortWithinPartitions(*partition_by, value)
+    names = [f"key{i}" for i in range(len(partition_by))]
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in zip(partition_by, names, strict=True)]
+    # size: of a compressed text
+    columns = [*keys, F.col(value).cast("binary").alias("text"), F.lit(None).cast("long").alias("size")]
+    if deal:
+        rows = df.select(F.xxhash64(deal[1]).alias("dealt"), *columns)
+        rows = rows.mapInArrow(pack, rows.schema).repartition(deal[0], "dealt").drop("dealt")
+    else:
+        rows = df.select(*columns)
     os.makedirs(folder)
-    rows.mapInArrow(write, "files LONG").agg(F.sum("files")).collect()
+    rows.sortWithinPartitions(*names, "text").mapInArrow(write, "files LONG").agg(F.sum("files")).collect()
     with open(f"{folder}/_SUCCESS", "wb"):
         pass
 

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corvid.sources.whole_files import local_whole_files
+
 # Microsecond precision for timestamps in text formats; the writers'
 # default pattern keeps only milliseconds.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -50,10 +52,14 @@ def read_whole_files(spark: SparkSession, path: str, recursive: bool = False,
     must fit in a task's memory; many small files are packed per task.
 
     ``levels`` > 0 reads the files ``levels`` folders below ``path`` (a
-    ``<topic>/<id>/`` layout is ``levels=2``). The glob turns every leaf
-    folder into a root path, and Spark lists many roots as a distributed job
-    instead of walking the tree from the driver.
+    ``<topic>/<id>/`` layout is ``levels=2``). In local or mounted folders
+    tasks list and read the files (``local_whole_files``), so the driver holds
+    none of their names. Elsewhere Spark's reader does it, whose driver keeps
+    an entry for each file: the glob turns every leaf folder into a root path,
+    and Spark lists many roots as a distributed job.
     """
+    if (local := local_whole_files(spark, path, recursive, levels)) is not None:
+        return local
     target = path.rstrip("/") + "/*" * levels if levels else path
     listing = str(max(1, spark.sparkContext.defaultParallelism * 4))
     with session_conf(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", listing):

@@ -258,3 +258,78 @@ def test_many_small_files_share_tasks(spark, workdir):
     files = src.read_whole_files(spark, path)
     assert files.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
     assert {int(f["value"]) for f in files.collect()} == set(range(3000))
+
+
+def test_tasks_list_whole_files_as_spark_does(spark, workdir):
+    # the driver keeps no entry for any file; rows and paths are those of Spark's reader
+    base = os.path.join(workdir, "t")
+    for name in ("a b", "c%d", "é", "t=1", "_hidden", ".dot", "_h=1", "q?", "[z]", " s", "tab\t"):
+        for file in ("f é%.txt", "_no", "_yes=1", ".no", "no._COPYING_", "_metadata", "g"):
+            _write(os.path.join(base, name), file, name)
+        _write(os.path.join(base, name), "empty", "")
+    _write(base, "top.txt", "top\n")
+    _write(base, "_SUCCESS", "")
+    with open(os.path.join(base, "t=1", "bytes"), "wb") as f:
+        f.write(b"\xff\xfe\x00")
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.select("path", F.hex(F.col("value").cast("binary"))).collect())
+
+    def spark_reads(path, **options):
+        text = spark.read.options(**options).text(path, wholetext=True)
+        return rows(text.select(F.col("_metadata.file_path").alias("path"), "value"))
+
+    topics = src.read_whole_files(spark, base, levels=1)
+    assert topics.inputFiles() == [] and rows(topics) == spark_reads(base + "/*") and topics.count() > 30
+    every = src.read_whole_files(spark, base, recursive=True)
+    assert every.inputFiles() == [] and rows(every) == spark_reads(base, recursiveFileLookup="true")
+    deep = src.read_whole_files(spark, workdir, levels=2)
+    assert deep.inputFiles() == [] and rows(deep) == spark_reads(workdir + "/*/*")
+    one = src.read_whole_files(spark, os.path.join(base, "t=1"))
+    assert one.inputFiles() == [] and rows(one) == spark_reads(os.path.join(base, "t=1"))
+    globbed = src.read_whole_files(spark, os.path.join(base, "[at]*"))
+    assert globbed.inputFiles() == [] and rows(globbed) == spark_reads(os.path.join(base, "[at]*"))
+
+
+def test_whole_files_left_to_sparks_reader(spark, workdir):
+    # compressed files, partition folders below, nothing to read
+    spark.createDataFrame([("x",), ("y",)], "value STRING").coalesce(1).write.text(
+        os.path.join(workdir, "gz"), compression="gzip")
+    assert [r["value"] for r in src.read_whole_files(spark, os.path.join(workdir, "gz")).collect()] == ["x\ny\n"]
+    _write(os.path.join(workdir, "parts", "k=1"), "f", "1")
+    _write(os.path.join(workdir, "parts", "k=2"), "f", "2")
+    assert {r["value"] for r in src.read_whole_files(spark, os.path.join(workdir, "parts")).collect()} == {"1", "2"}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        src.read_whole_files(spark, os.path.join(workdir, "none"))
+    os.makedirs(os.path.join(workdir, "empty"))
+    assert src.read_whole_files(spark, os.path.join(workdir, "empty")).collect() == []
+
+
+def test_whole_files_match_their_checksums(spark, workdir):
+    path = os.path.join(workdir, "sums")
+    spark.createDataFrame([("a" * 2000,)], "value STRING").coalesce(1).write.text(path)
+    assert [r["value"] for r in src.read_whole_files(spark, path).collect()] == ["a" * 2000 + "\n"]
+    part, = (n for n in os.listdir(path) if n.startswith("part-"))
+    with open(os.path.join(path, part), "r+b") as f:
+        f.seek(1500)
+        f.write(b"b")
+    with pytest.raises(Exception, match="Checksum error"):
+        src.read_whole_files(spark, path).collect()
+
+
+def test_records_dealt_out_to_tasks(spark, workdir):
+    rows = [(i % 3, topic, text) for i, topic in enumerate(("a", "", None, "b=c"))
+            for text in ("one", "two\nlines", "", None, "é" * 5000, "one")]
+    df = spark.createDataFrame(rows, "id INT, size STRING, value STRING").coalesce(1)
+    dealt, plain, theirs = (os.path.join(workdir, x) for x in ("dealt", "plain", "theirs"))
+    sinks.write_text(df, dealt, "errorifexists", partition_by=["size"], records_per_file=1, deal=(4, "id"))
+    sinks.write_text(df.drop("id"), plain, "errorifexists", partition_by=["size"], records_per_file=1)
+    sinks.write_text(df, theirs, "overwrite", partition_by=["size"], records_per_file=1, deal=(4, "id"))
+
+    def found(path):
+        files = src.read_whole_files(spark, path, levels=1).collect()
+        return sorted((f["path"].rsplit("/", 2)[1], f["value"]) for f in files)
+
+    assert found(dealt) == found(plain) == found(theirs) and len(found(dealt)) == len(rows)
+    tasks = {n.split("-")[1] for _, _, files in os.walk(dealt) for n in files if n.startswith("part-")}
+    assert len(tasks) > 1
