@@ -1,7 +1,8 @@
 """Whole files of a local or mounted folder, listed and read by tasks.
 
-Spark's file readers keep an entry for each file on the driver. Here the driver knows only the
-folders it was given: tasks list them, deal out the names and read the files.
+Spark's file readers keep an entry for each file on the driver. Here the driver
+knows only the folders it was given: tasks list them, deal out the names and
+read the files.
 """
 
 from __future__ import annotations
